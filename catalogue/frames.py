@@ -79,12 +79,17 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), words.alias("tokens"))
 
 
+LINE_FILE = {
+    "header": True, "sep": "\u0001", "quote": "", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
+
+
 def write_source1_file(spark: SparkSession, sf_dir: str) -> str:
     """The first list as a tab-separated file with a header."""
     path = scratch_path(spark, "source1")
     source1(spark, sf_dir).drop("id").select(
         F.concat_ws("\t", *[F.coalesce(F.col(c), F.lit("")) for c in _columns1()]).alias("line")
-    ).write.option("header", True).option("sep", "\u0001").option("quote", "").csv(path)
+    ).write.options(**LINE_FILE).csv(path)
     return path
 
 
@@ -103,7 +108,7 @@ def write_source2_file(spark: SparkSession, sf_dir: str) -> str:
     lines = rows.select(F.concat_ws("\t", four, "address2").alias("line"))
     short = rows.where("id % 50 = 0").select(F.col("name").alias("line"))
     long = rows.where("id % 60 = 0").select(F.concat_ws("\t", four, F.lit("a"), F.lit("b")).alias("line"))
-    lines.union(short).union(long).write.option("header", True).option("sep", "\u0001").option("quote", "").csv(path)
+    lines.union(short).union(long).write.options(**LINE_FILE).csv(path)
     return path
 
 
@@ -116,7 +121,8 @@ def write_national_file(spark: SparkSession, sf_dir: str) -> str:
         F.lit("x"), F.lit("y"),
     )
     cut = F.when(F.col("id") % 40 == 0, F.concat_ws(";", "street_number", "city")).otherwise(line)
-    source1(spark, sf_dir).select(cut.alias("line")).write.options(
-        header=True, sep="\u0001", quote="", compression="gzip"
-    ).csv(path)
+    source1(spark, sf_dir).select(cut.alias("line")).write.options(compression="gzip", **LINE_FILE).csv(path)
     return path
+
+
+ENTRY_COLUMNS = ("id", "rawid", "name", "street_number", "address", "postal_code", "city", "extra")

@@ -34,9 +34,13 @@ def expand_street_types(address: Column, at_word_start: bool = False) -> Column:
     """
     lead = r"(?:^|\s)" if at_word_start else r"(?:\s?|^[A-Za-z])"
 
+    capitals = F.upper(T.blanks(address))
+
     def expand(result: Column, item: tuple[str, str]) -> Column:
         abbreviation, long_form = item
-        found = F.regexp_extract(address, f"(?iuU){lead}{abbreviation}\\s", 0)
+        # The plain search settles most rows before a pattern is tried; an empty find replaces nothing.
+        possible = capitals.contains(f"{abbreviation.upper()} ")
+        found = F.when(possible, F.regexp_extract(address, f"(?iuU){lead}{abbreviation}\\s", 0)).otherwise("")
         return F.replace(result, found, F.lit(f" {long_form} "))
 
     return reduce(expand, STREET_TYPES.items(), address)

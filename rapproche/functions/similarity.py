@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from rapproche.functions.text import tokens
 
@@ -47,7 +48,7 @@ def _code_points(texts: np.ndarray, filler: int) -> np.ndarray:
     return points
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def _edit_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     present = (left.notna() & right.notna()).to_numpy()
     result = np.full(len(left), np.nan)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import string
 import unicodedata
-from functools import lru_cache, reduce
+from functools import lru_cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -52,9 +52,6 @@ ASCII_FORMS = {
 }
 # ----------------------------------------------------------------------------------------------------------------------
 
-WHITE_SPACE_RUN = f"[{WHITE_SPACE}]+"
-
-
 @lru_cache(maxsize=1)
 def _fold_tables() -> tuple[str, str, tuple[tuple[str, str], ...]]:
     """One-to-one signs (then deletions) for ``translate``, and the signs that grow to several."""
@@ -113,36 +110,57 @@ def punctuation_to_space(c: Column) -> Column:
     return F.translate(c, PUNCTUATION, " " * len(PUNCTUATION))
 
 
+def is_ascii(c: Column) -> Column:
+    return F.octet_length(c) == F.length(c)
+
+
 def fold_to_ascii(c: Column) -> Column:
-    """Accented Latin letters and common typographic signs to ASCII; other scripts stay."""
+    """Accented Latin letters and common typographic signs to ASCII; other scripts stay.
+
+    Plain ASCII passes untouched, and the signs that grow to several are looked for only where one-to-one
+    translation leaves something over.
+    """
     source, target, longer = _fold_tables()
     one_to_one = F.translate(c, source, target)
-    grown = reduce(lambda acc, pair: F.replace(acc, F.lit(pair[0]), F.lit(pair[1])), longer, one_to_one)
-    signs = "".join(sign for sign, _ in longer)
-    return F.when(one_to_one.rlike(f"[{signs}]"), grown).otherwise(one_to_one)
+    pairs = F.expr("array(" + ", ".join(f"struct('{sign}' AS a, '{form}' AS b)" for sign, form in longer) + ")")
+    grown = F.aggregate(pairs, one_to_one, lambda text, pair: F.replace(text, pair["a"], pair["b"]))
+    return F.when(is_ascii(c), c).when(is_ascii(one_to_one), one_to_one).otherwise(grown)
+
+
+def blanks(c: Column) -> Column:
+    """White space of any kind as blanks."""
+    return F.translate(c, WHITE_SPACE, " " * len(WHITE_SPACE))
 
 
 def tokens(c: Column) -> Column:
     """White-space tokens, none of them empty."""
-    return F.filter(F.split(c, WHITE_SPACE_RUN), lambda t: t != "")
+    return F.filter(F.split(blanks(c), " "), lambda t: t != "")
 
 
 def collapse(c: Column) -> Column:
     return F.array_join(tokens(c), " ")
 
 
-def _keep_words(words: Column) -> Column:
-    return F.filter(words, lambda t: (t != "") & ~t.isin(*STOP_WORDS))
+def _without_stop_words(words: Column) -> Column:
+    stop_words = ", ".join(f"'{w}'" for w in STOP_WORDS)
+    keep = F.expr(f"t -> t <> '' AND t NOT IN ({stop_words})")
+    return F.array_join(F.call_function("filter", words, keep), " ")
 
 
 def remove_stop_words(c: Column) -> Column:
-    return F.array_join(_keep_words(F.split(c, WHITE_SPACE_RUN)), " ")
+    return _without_stop_words(F.split(blanks(c), " "))
 
 
 def standardise(c: Column) -> Column:
-    """Lower case, punctuation to blanks, ASCII letters, no stop words, single blanks; missing text is ''."""
-    folded = fold_to_ascii(punctuation_to_space(lower_strip(null_to_empty(c))))
-    return remove_stop_words(folded)
+    """Lower case, punctuation to blanks, ASCII letters, no stop words, single blanks; missing text is ''.
+
+    One pass turns punctuation and white space to blanks, and only text that is not ASCII is folded.
+    """
+    text = null_to_empty(c)
+    apart = PUNCTUATION + WHITE_SPACE
+    spaced = F.translate(F.lower(text), apart, " " * len(apart))
+    folded = F.when(is_ascii(text), spaced).otherwise(fold_to_ascii(spaced))
+    return _without_stop_words(F.split(folded, " "))
 
 
 def drop_single_letters(c: Column) -> Column:

@@ -39,7 +39,10 @@ def entries_from_source1(rows: DataFrame, parity: Parity = Parity()) -> DataFram
 
 
 def entries_from_source2(rows: DataFrame, parity: Parity = Parity()) -> DataFrame:
-    """Entries of the list whose addresses are free text; a column ``id`` is passed through."""
+    """Entries of the list whose addresses are free text; a column ``id`` is passed through.
+
+    Stage the result before filtering on its columns: the optimizer would copy their long expressions into the filter.
+    """
     return _standard(split_address(_cleaned(rows.drop("website")), "address", parity), parity)
 
 

@@ -99,10 +99,10 @@ def _stack(column: pd.Series) -> np.ndarray:
 
 def deal_to_leaves(rows: DataFrame, id_name: str, trees: Trees) -> DataFrame:
     """(id, vector, cell): one row per tree, ``cell`` naming tree and leaf."""
-    shared = rows.sparkSession.sparkContext.broadcast(trees)
+    shared = rows.sparkSession.sparkContext.broadcast((trees.directions, trees.splits))
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        forest = shared.value
+        forest = Trees(*shared.value)
         for batch in batches:
             if not len(batch):
                 continue
@@ -197,15 +197,6 @@ def nearest(
     return found if threshold is None else above(found, threshold)
 
 
-@dataclass(frozen=True)
-class Pivots:
-    """Cell centres with the smallest and largest angle of a reference to its centre."""
-
-    centres: np.ndarray
-    low: np.ndarray
-    high: np.ndarray
-
-
 def _nearest_pivot(rows: DataFrame, centres: np.ndarray) -> DataFrame:
     """(reference_id, vector, cell, angle) with the closest centre of each reference."""
     shared = rows.sparkSession.sparkContext.broadcast(centres)
@@ -237,7 +228,7 @@ def _exact(
     ranges = placed.groupBy("cell").agg(F.min("angle").alias("low"), F.max("angle").alias("high")).toPandas()
     index = ranges["cell"].to_numpy(dtype=np.int64)
     shared = queries.sparkSession.sparkContext.broadcast(
-        (index, Pivots(centres[index], ranges["low"].to_numpy(), ranges["high"].to_numpy()))
+        (index, centres[index], ranges["low"].to_numpy(), ranges["high"].to_numpy())
     )
     floor = -2.0 if threshold is None else threshold
     best_so_far = F.greatest(F.coalesce(F.col("model_score"), F.lit(-2.0)), F.lit(floor))
@@ -246,12 +237,12 @@ def _exact(
     )
 
     def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        numbers, pivots = shared.value
+        numbers, midpoints, low, high = shared.value
         for batch in batches:
             if not len(batch):
                 continue
-            angle = np.arccos(np.clip(_stack(batch["vector"]) @ pivots.centres.T, -1, 1))
-            outside = np.maximum(np.maximum(pivots.low[None, :] - angle, angle - pivots.high[None, :]), 0.0)
+            angle = np.arccos(np.clip(_stack(batch["vector"]) @ midpoints.T, -1, 1))
+            outside = np.maximum(np.maximum(low[None, :] - angle, angle - high[None, :]), 0.0)
             open_cells = np.cos(outside) >= batch["best"].to_numpy()[:, None] - 1e-9
             cells_of = [numbers[row] for row in open_cells]
             yield pd.DataFrame({"query_id": batch["query_id"], "vector": batch["vector"], "cells": cells_of})
