@@ -31,7 +31,7 @@ def hot_keys(df: DataFrame, key: str, limits: SkewLimits = SkewLimits()) -> dict
         .agg(F.expr(f"approx_top_k_accumulate(`{key}`, {TRACKED_KEYS})").alias("sketch"))
     )
     merged = F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {TRACKED_KEYS}), {REPORTED_KEYS})")
-    found = sketches.agg(F.count("*").alias("parts"), merged.alias("top")).where("parts > 0").collect()
+    found = sketches.groupBy(F.col("part") < 0).agg(merged.alias("top")).collect()  # one group, or none without rows
     top = found[0]["top"] if found else []
     return {row["item"]: row["count"] for row in top if row["count"] > limits.task_rows}
 
@@ -70,9 +70,9 @@ def salted_join(
     def dealt(df: DataFrame, key: str, own: dict, other: dict, own_salt: str, other_salt: str) -> DataFrame:
         own_parts = _shares(F.col(key), own, limits.task_rows)
         other_parts = _shares(F.col(key), other, limits.task_rows)
-        return df.withColumn(own_salt, F.pmod(F.xxhash64(*df.columns), own_parts).cast("int")).withColumn(
-            other_salt, F.explode(F.sequence(F.lit(0), other_parts - 1))
-        )
+        # Never null, so that the join infers no filter on it and pushes no copy of the row's expressions down.
+        part = F.coalesce(F.pmod(F.xxhash64(*df.columns), own_parts).cast("int"), F.lit(0))
+        return df.withColumn(own_salt, part).withColumn(other_salt, F.explode(F.sequence(F.lit(0), other_parts - 1)))
 
     a = dealt(left, left_key, hot_left, hot_right, "_l0", "_r0")
     b = dealt(right, right_key, hot_right, hot_left, "_r1", "_l1")

@@ -73,62 +73,60 @@ def seed_pieces(words: DataFrame, config: SubwordConfig) -> DataFrame:
     )
 
 
-def _log_add(a: float, b: float) -> float:
-    if a < b:
-        a, b = b, a
-    return a if b == -math.inf else a + math.log1p(math.exp(b - a))
-
-
-def _arcs(word: str, scores: dict, longest: int) -> list[list[tuple[int, str, float]]]:
-    """For each end position, the pieces that end there with their start and score.
+def _arcs(word: str, scores: dict, longest: int) -> list[tuple[int, int, str | None, float]]:
+    """All pieces in the word as (start, end, piece, score), by start.
 
     A character without a piece of its own is an arc of its own, scored below every piece.
     """
-    floor = scores[None]
-    result = [[] for _ in range(len(word) + 1)]
-    for start in range(len(word)):
-        for end in range(start + 1, min(len(word), start + longest) + 1):
+    floor, size, result = scores[None], len(word), []
+    for start in range(size):
+        for end in range(start + 1, min(size, start + longest) + 1):
             piece = word[start:end]
             score = scores.get(piece)
             if score is not None:
-                result[end].append((start, piece, score))
+                result.append((start, end, piece, score))
             elif end == start + 1:
-                result[end].append((start, None, floor))
+                result.append((start, end, None, floor))
     return result
 
 
 def expected_counts(word: str, scores: dict, longest: int) -> tuple[float, list[tuple[str, float]]]:
-    """Log likelihood of the word, and each piece's expected number of uses over all segmentations."""
+    """Log likelihood of the word, and each piece's expected number of uses over all segmentations.
+
+    Every position is weighed relative to the mass that reaches it, so long words neither vanish nor overflow.
+    """
     arcs = _arcs(word, scores, longest)
     size = len(word)
-    forward = [0.0] + [-math.inf] * size
-    for end in range(1, size + 1):
-        for start, _, score in arcs[end]:
-            forward[end] = _log_add(forward[end], forward[start] + score)
-    backward = [-math.inf] * size + [0.0]
-    for end in range(size, 0, -1):
-        for start, _, score in arcs[end]:
-            backward[start] = _log_add(backward[start], backward[end] + score)
+    top = [-math.inf] * (size + 1)
+    top[0] = 0.0
+    for start, end, _, score in arcs:
+        if top[start] + score > top[end]:
+            top[end] = top[start] + score
+    forward, backward = [0.0] * (size + 1), [0.0] * (size + 1)
+    forward[0] = backward[size] = 1.0
+    weights = [math.exp(top[start] + score - top[end]) for start, end, _, score in arcs]
+    for (start, end, _, _), weight in zip(arcs, weights):
+        forward[end] += forward[start] * weight
+    for (start, end, _, _), weight in zip(reversed(arcs), reversed(weights)):
+        backward[start] += backward[end] * weight
     total = forward[size]
+    if not math.isfinite(total):  # beyond about a thousand characters: count the best segmentation alone
+        score, pieces = best_segmentation(word, scores, longest)
+        return score, [(piece, 1.0) for piece in pieces if piece in scores]
     uses = [
-        (piece, math.exp(forward[start] + score + backward[end] - total))
-        for end in range(1, size + 1)
-        for start, piece, score in arcs[end]
+        (piece, forward[start] * weight * backward[end] / total)
+        for (start, end, piece, _), weight in zip(arcs, weights)
         if piece is not None
     ]
-    return total, uses
+    return top[size] + math.log(total), uses
 
 
 def best_segmentation(word: str, scores: dict, longest: int, without: str | None = None) -> tuple[float, list[str]]:
     """Most likely pieces of the word; ``without`` bars one piece. Runs of unknown characters stay together."""
-    arcs = _arcs(word, scores, longest)
     best = [(0.0, 0, None)] + [(-math.inf, 0, None)] * len(word)
-    for end in range(1, len(word) + 1):
-        for start, piece, score in arcs[end]:
-            if piece is not None and piece == without:
-                continue
-            if best[start][0] + score > best[end][0]:
-                best[end] = (best[start][0] + score, start, piece)
+    for start, end, piece, score in _arcs(word, scores, longest):
+        if (piece is None or piece != without) and best[start][0] + score > best[end][0]:
+            best[end] = (best[start][0] + score, start, piece)
     pieces, end = [], len(word)
     while end > 0:
         _, start, piece = best[end]
@@ -190,7 +188,9 @@ def _losses(spark: SparkSession, scores: dict, uses: dict, longest: int, require
     candidates = pd.DataFrame(
         [(p, uses.get(p, 0.0)) for p in scores if p not in required], columns=["piece", "uses"]
     ).astype({"piece": object, "uses": "float64"})
-    frame = spark.createDataFrame(candidates, "piece string, uses double")
+    frame = spark.createDataFrame(candidates, "piece string, uses double").repartition(
+        spark.sparkContext.defaultParallelism
+    )
     best = frame.mapInPandas(cost, "piece string, loss double").orderBy(F.desc("loss"), "piece").limit(keep)
     return [row["piece"] for row in best.collect()]
 
@@ -202,7 +202,8 @@ def train_subwords(corpus: DataFrame, config: SubwordConfig = SubwordConfig()) -
     covered characters stay pieces.
     """
     spark = corpus.sparkSession
-    words = stage(word_counts(corpus), "words")
+    # Few bytes but much work per row: as many parts as there are cores, not as few as the bytes would fill.
+    words = stage(word_counts(corpus).repartition(spark.sparkContext.defaultParallelism), "words")
     required_rows = covered_characters(words, config.character_coverage).collect()
     required = {row["piece"] for row in required_rows}
     counts = {row["piece"]: float(row["n"]) for row in required_rows}
