@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import string
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 
 from pyspark.sql import Column
@@ -110,21 +111,30 @@ def punctuation_to_space(c: Column) -> Column:
     return F.translate(c, PUNCTUATION, " " * len(PUNCTUATION))
 
 
+def once(c: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(c)`` with ``c`` worked out once, however often ``then`` uses it.
+
+    Keeps nested expressions small where the optimizer would write out each use.
+    """
+    return F.get(F.transform(F.array(c), then), F.lit(0))
+
+
 def is_ascii(c: Column) -> Column:
     return F.octet_length(c) == F.length(c)
 
 
-def fold_to_ascii(c: Column) -> Column:
-    """Accented Latin letters and common typographic signs to ASCII; other scripts stay.
-
-    Plain ASCII passes untouched, and the signs that grow to several are looked for only where one-to-one
-    translation leaves something over.
-    """
-    source, target, longer = _fold_tables()
-    one_to_one = F.translate(c, source, target)
+def _grow(c: Column) -> Column:
+    """Signs that become several, looked for only in text that is not ASCII yet."""
+    longer = _fold_tables()[2]
     pairs = F.expr("array(" + ", ".join(f"struct('{sign}' AS a, '{form}' AS b)" for sign, form in longer) + ")")
-    grown = F.aggregate(pairs, one_to_one, lambda text, pair: F.replace(text, pair["a"], pair["b"]))
-    return F.when(is_ascii(c), c).when(is_ascii(one_to_one), one_to_one).otherwise(grown)
+    grown = F.aggregate(pairs, c, lambda text, pair: F.replace(text, pair["a"], pair["b"]))
+    return F.when(is_ascii(c), c).otherwise(grown)
+
+
+def fold_to_ascii(c: Column) -> Column:
+    """Accented Latin letters and common typographic signs to ASCII; other scripts stay."""
+    source, target, _ = _fold_tables()
+    return once(F.translate(c, source, target), _grow)
 
 
 def blanks(c: Column) -> Column:
@@ -154,13 +164,12 @@ def remove_stop_words(c: Column) -> Column:
 def standardise(c: Column) -> Column:
     """Lower case, punctuation to blanks, ASCII letters, no stop words, single blanks; missing text is ''.
 
-    One pass turns punctuation and white space to blanks, and only text that is not ASCII is folded.
+    One pass over the characters turns punctuation and white space to blanks and folds letters: no sign is both.
     """
-    text = null_to_empty(c)
+    source, target, _ = _fold_tables()
     apart = PUNCTUATION + WHITE_SPACE
-    spaced = F.translate(F.lower(text), apart, " " * len(apart))
-    folded = F.when(is_ascii(text), spaced).otherwise(fold_to_ascii(spaced))
-    return _without_stop_words(F.split(folded, " "))
+    simple = F.translate(F.lower(null_to_empty(c)), apart + source, " " * len(apart) + target)
+    return _without_stop_words(F.split(once(simple, _grow), " "))
 
 
 def drop_single_letters(c: Column) -> Column:

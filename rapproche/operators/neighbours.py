@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from rapproche.config import NeighbourConfig
 from rapproche.functions.similarity import norm
+from rapproche.session import stage
 
 MAX_DEPTH = 16
 
@@ -184,7 +185,7 @@ def nearest(
     """
     spark = queries.sparkSession
     q = unit_vectors(queries, "query_id")
-    r = distinct_references(unit_vectors(references, "reference_id"))
+    r = stage(distinct_references(unit_vectors(references, "reference_id")), "references")
     n = r.count()
     if n == 0:
         return spark.createDataFrame([], _BEST_SCHEMA)
@@ -193,7 +194,7 @@ def nearest(
         deal_to_leaves(q, "query_id", trees), deal_to_leaves(r, "reference_id", trees), config.chunk_rows
     )
     if config.exact and trees.directions.shape[1]:
-        found = _exact(q, r, found, config, n, threshold)
+        found = _exact(q, r, stage(found, "nearby"), config, n, threshold)
     return found if threshold is None else above(found, threshold)
 
 
