@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from rapproche.functions.text import tokens
+from rapproche.functions.text import once, tokens
 
 
 def common_subsequence_lengths(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -61,6 +61,10 @@ def _edit_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series(result).where(pd.Series(present))
 
 
+# So declared, the optimizer neither moves the call below an earlier filter nor repeats it for a later one.
+_edit_ratio = _edit_ratio.asNondeterministic()
+
+
 def edit_ratio(left: Column, right: Column) -> Column:
     """Edit similarity in 0..1 where a substitution counts as two edits: 2 * LCS / (len + len).
 
@@ -73,7 +77,40 @@ def edit_ratio(left: Column, right: Column) -> Column:
 
 def token_set_text(token_array: Column) -> Column:
     """Distinct tokens in code-point order, joined by blanks."""
-    return F.array_join(F.array_sort(F.array_distinct(token_array)), " ")
+    return F.array_join(F.sort_array(F.array_distinct(token_array)), " ")
+
+
+def fuzzy_keys(left: Column, right: Column, at_least: float | None = None) -> Column:
+    """What is to be compared of two token arrays: struct(same, a, b).
+
+    ``same`` says that the token sets are equal. ``a`` and ``b`` are their texts where only an edit ratio can tell; they
+    are null where the sets are equal, share no token, or, with ``at_least``, differ too much in length to reach it.
+    """
+
+    def compare(t: Column) -> Column:
+        differ = t["a"] != t["b"]
+        if at_least is not None:
+            shorter = F.least(F.length(t["a"]), F.length(t["b"]))
+            differ = differ & (F.try_divide(shorter * 2.0, F.length(t["a"]) + F.length(t["b"])) >= at_least)
+        return F.struct(
+            F.coalesce(t["a"] == t["b"], F.lit(False)).alias("same"),
+            F.when(differ, t["a"]).alias("a"),
+            F.when(differ, t["b"]).alias("b"),
+        )
+
+    def texts(s: Column) -> Column:
+        meet = F.arrays_overlap(s["l"], s["r"])
+        a = F.when(meet, F.array_join(F.sort_array(s["l"]), " "))
+        b = F.when(meet, F.array_join(F.sort_array(s["r"]), " "))
+        return once(F.struct(a.alias("a"), b.alias("b")), compare)
+
+    sets = F.struct(F.array_distinct(left).alias("l"), F.array_distinct(right).alias("r"))
+    return once(sets, texts)
+
+
+def fuzzy_score(keys: Column) -> Column:
+    """Score of ``fuzzy_keys``; best given as a column of its own, since it is used three times."""
+    return F.when(keys["same"], F.lit(1.0)).otherwise(F.coalesce(_edit_ratio(keys["a"], keys["b"]), F.lit(0.0)))
 
 
 def fuzzy_match_tokens(left: Column, right: Column, at_least: float | None = None) -> Column:
@@ -81,12 +118,7 @@ def fuzzy_match_tokens(left: Column, right: Column, at_least: float | None = Non
 
     With ``at_least``, pairs whose lengths alone rule that score out get 0 at once.
     """
-    a, b = token_set_text(left), token_set_text(right)
-    gate = (F.size(left) > 0) & (F.size(right) > 0) & F.arrays_overlap(left, right)
-    if at_least is not None:
-        shorter, total = F.least(F.length(a), F.length(b)), F.length(a) + F.length(b)
-        gate = gate & (F.try_divide(shorter * 2.0, total) >= at_least)
-    return F.coalesce(edit_ratio(F.when(gate, a), F.when(gate, b)), F.lit(0.0))
+    return fuzzy_score(fuzzy_keys(left, right, at_least))
 
 
 def fuzzy_match(left: Column, right: Column, at_least: float | None = None) -> Column:

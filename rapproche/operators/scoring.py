@@ -10,9 +10,10 @@ from rapproche.functions.similarity import (
     edit_ratio,
     equal_or_missing,
     equal_postal_codes,
-    fuzzy_match,
-    fuzzy_match_tokens,
+    fuzzy_keys,
+    fuzzy_score,
 )
+from rapproche.functions.text import tokens
 from rapproche.operators.matching import FIELDS, table_columns
 from rapproche.operators.skew import SkewLimits, hot_keys, salted_join
 
@@ -41,8 +42,9 @@ def _reachable(threshold: float) -> float | None:
 
 def city_barrier(pairs: DataFrame, thresholds: Thresholds) -> DataFrame:
     """Pairs whose city score exceeds the threshold."""
-    score = fuzzy_match(F.col("query_city"), F.col("reference_city"), _reachable(thresholds.city))
-    return pairs.withColumn("city_score", score).where(F.col("city_score") > thresholds.city)
+    keys = fuzzy_keys(tokens(F.col("query_city")), tokens(F.col("reference_city")), _reachable(thresholds.city))
+    scored = pairs.withColumn("_keys", keys).withColumn("city_score", fuzzy_score(F.col("_keys")))
+    return scored.where(F.col("city_score") > thresholds.city).drop("_keys")
 
 
 def postal_code_score(parity: Parity) -> Column:
@@ -70,13 +72,13 @@ def score_pairs(
         .where(F.col("postal_code_score") >= thresholds.postal_code)
         .where(F.col("street_number_score") >= thresholds.street_number)
     )
-    address = fuzzy_match_tokens(F.col("query_tokens"), F.col("reference_tokens"), _reachable(thresholds.address))
-    name = fuzzy_match(F.col("query_name"), F.col("reference_name"), _reachable(thresholds.name))
+    address = fuzzy_keys(F.col("query_tokens"), F.col("reference_tokens"), _reachable(thresholds.address))
+    name = fuzzy_keys(tokens(F.col("query_name")), tokens(F.col("reference_name")), _reachable(thresholds.name))
     return (
-        cheap.withColumn("address_score", address)
-        .where(F.col("address_score") >= thresholds.address)
-        .withColumn("name_score", name)
-        .where(F.col("name_score") >= thresholds.name)
+        cheap.withColumns({"_address": address, "_name": name})
+        .withColumns({"address_score": fuzzy_score(F.col("_address")), "name_score": fuzzy_score(F.col("_name"))})
+        .where((F.col("address_score") >= thresholds.address) & (F.col("name_score") >= thresholds.name))
+        .drop("_address", "_name")
     )
 
 

@@ -249,6 +249,8 @@ def encoder(pieces: DataFrame, max_piece_length: int = 16):
                 result.append(pieces_of_text)
             yield pd.Series(result, dtype=object)
 
+    encode = encode.asNondeterministic()  # evaluated once per row, also when its result is filtered on
+
     def encode_column(c: Column) -> Column:
         return encode(F.coalesce(c, F.lit("")))
 
