@@ -340,3 +340,13 @@ def whole_job(spark, sf_dir):
 def whole_job_open(spark, sf_dir):
     config = LinkConfig(**{**JOB.__dict__, "thresholds": Thresholds.open()})
     return score_table(link_entries(*_lists(spark, sf_dir), config).scores)
+
+
+@query("l4_open_query_rows", f"""WITH {S.MERGED_CTES} SELECT rawid, name, street_number, address, postal_code, city
+  FROM e2 WHERE rawid NOT IN (SELECT table2_rawid2 FROM by_id)""")
+def whole_job_query_rows(spark, sf_dir):
+    """With every candidate let through, each left-over row of the second list is paired exactly once."""
+    config = LinkConfig(**{**JOB.__dict__, "thresholds": Thresholds.open()})
+    scores = link_entries(*_lists(spark, sf_dir), config).scores
+    fields = ("rawid", "name", "street_number", "address", "postal_code", "city")
+    return scores.select(*[F.col(f"query_{c}").alias(c) for c in fields])

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -94,25 +95,36 @@ def grow_trees(references: DataFrame, config: NeighbourConfig, n: int | None = N
     return Trees(directions, splits)
 
 
-def _stack(column: pd.Series) -> np.ndarray:
-    return np.array(column.tolist(), dtype=np.float64)
+def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """A column of equally long vectors as a matrix, without visiting its rows."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+def _lists(rows: np.ndarray, counts: np.ndarray | None = None) -> pa.Array:
+    """A long list per row: of the matrix rows, or of runs of ``counts`` values."""
+    counts = np.full(len(rows), rows.shape[1]) if counts is None else counts
+    offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(rows.reshape(-1), pa.int64()))
 
 
 def deal_to_leaves(rows: DataFrame, id_name: str, trees: Trees) -> DataFrame:
     """(id, vector, cell): one row per tree, ``cell`` naming tree and leaf."""
     shared = rows.sparkSession.sparkContext.broadcast((trees.directions, trees.splits))
 
-    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forest = Trees(*shared.value)
         for batch in batches:
-            if not len(batch):
-                continue
-            cells = forest.leaves(_stack(batch["vector"])) + (np.arange(forest.count) << MAX_DEPTH)[None, :]
-            yield pd.DataFrame({id_name: batch[id_name], "vector": batch["vector"], "cells": list(cells)})
+            if batch.num_rows:
+                cells = forest.leaves(_matrix(batch["vector"])) + (np.arange(forest.count) << MAX_DEPTH)[None, :]
+                yield pa.RecordBatch.from_arrays(
+                    [batch[id_name], batch["vector"], _lists(cells)], [id_name, "vector", "cells"]
+                )
 
     return (
         rows.select(id_name, "vector")
-        .mapInPandas(deal, f"{id_name} long, vector array<double>, cells array<long>")
+        .mapInArrow(deal, f"{id_name} long, vector array<double>, cells array<long>")
         .select(id_name, "vector", F.explode("cells").alias("cell"))
     )
 
@@ -143,21 +155,18 @@ def best_in_cells(queries: DataFrame, references: DataFrame, chunk_rows: int) ->
     q = dealt(queries, "query_id", "_nq", "_nr", "_q", "_r").groupBy("cell", "_q", "_r")
     r = dealt(references, "reference_id", "_nr", "_nq", "_r", "_q").groupBy("cell", "_q", "_r")
 
-    def best(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"query_id": [], "reference_id": [], "model_score": []})
-        right = right.sort_values("reference_id", kind="stable")
-        scores = np.array(left["vector"].tolist()) @ np.array(right["vector"].tolist()).T
+    def best(left: pa.Table, right: pa.Table) -> pa.Table:
+        ids = right["reference_id"].to_numpy()
+        if not len(ids) or not left.num_rows:
+            empty = {"query_id": pa.array([], pa.int64()), "reference_id": pa.array([], pa.int64())}
+            return pa.table({**empty, "model_score": pa.array([], pa.float64())})
+        order = np.argsort(ids, kind="stable")
+        scores = _matrix(left["vector"]) @ _matrix(right["vector"])[order].T
         at = scores.argmax(axis=1)
-        return pd.DataFrame(
-            {
-                "query_id": left["query_id"].to_numpy(),
-                "reference_id": right["reference_id"].to_numpy()[at],
-                "model_score": scores[np.arange(len(left)), at],
-            }
-        )
+        top = scores[np.arange(len(at)), at]
+        return pa.table({"query_id": left["query_id"], "reference_id": ids[order][at], "model_score": top})
 
-    return top_match(q.cogroup(r).applyInPandas(best, _BEST_SCHEMA))
+    return top_match(q.cogroup(r).applyInArrow(best, _BEST_SCHEMA))
 
 
 def top_match(candidates: DataFrame) -> DataFrame:
@@ -202,16 +211,18 @@ def _nearest_pivot(rows: DataFrame, centres: np.ndarray) -> DataFrame:
     """(reference_id, vector, cell, angle) with the closest centre of each reference."""
     shared = rows.sparkSession.sparkContext.broadcast(centres)
 
-    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not len(batch):
-                continue
-            scores = _stack(batch["vector"]) @ shared.value.T
-            cell = scores.argmax(axis=1)
-            angle = np.arccos(np.clip(scores[np.arange(len(batch)), cell], -1, 1))
-            yield batch.assign(cell=cell.astype(np.int64), angle=angle)[["reference_id", "vector", "cell", "angle"]]
+            if batch.num_rows:
+                scores = _matrix(batch["vector"]) @ shared.value.T
+                cell = scores.argmax(axis=1)
+                angle = np.arccos(np.clip(scores[np.arange(len(cell)), cell], -1, 1))
+                yield pa.RecordBatch.from_arrays(
+                    [batch["reference_id"], batch["vector"], pa.array(cell, pa.int64()), pa.array(angle)],
+                    ["reference_id", "vector", "cell", "angle"],
+                )
 
-    return rows.mapInPandas(assign, "reference_id long, vector array<double>, cell long, angle double")
+    return rows.mapInArrow(assign, "reference_id long, vector array<double>, cell long, angle double")
 
 
 def _exact(
@@ -237,18 +248,19 @@ def _exact(
         "query_id", "vector", best_so_far.alias("best")
     )
 
-    def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers, midpoints, low, high = shared.value
         for batch in batches:
-            if not len(batch):
-                continue
-            angle = np.arccos(np.clip(_stack(batch["vector"]) @ midpoints.T, -1, 1))
-            outside = np.maximum(np.maximum(low[None, :] - angle, angle - high[None, :]), 0.0)
-            open_cells = np.cos(outside) >= batch["best"].to_numpy()[:, None] - 1e-9
-            cells_of = [numbers[row] for row in open_cells]
-            yield pd.DataFrame({"query_id": batch["query_id"], "vector": batch["vector"], "cells": cells_of})
-
-    visits = bounded.mapInPandas(visit, "query_id long, vector array<double>, cells array<long>").select(
+            if batch.num_rows:
+                angle = np.arccos(np.clip(_matrix(batch["vector"]) @ midpoints.T, -1, 1))
+                outside = np.maximum(np.maximum(low[None, :] - angle, angle - high[None, :]), 0.0)
+                reachable = np.cos(outside) >= batch["best"].to_numpy()[:, None] - 1e-9
+                cells = _lists(numbers[np.nonzero(reachable)[1]], reachable.sum(axis=1))
+                yield pa.RecordBatch.from_arrays(
+                    [batch["query_id"], batch["vector"], cells], ["query_id", "vector", "cells"]
+                )
+
+    visits = bounded.mapInArrow(visit, "query_id long, vector array<double>, cells array<long>").select(
         "query_id", "vector", F.explode("cells").alias("cell")
     )
     searched = best_in_cells(visits, placed.select("reference_id", "vector", "cell"), config.chunk_rows)
