@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rapproche.operators.skew import SkewLimits, lookup_join
+from rapproche.session import stage
 
 # Saturation, length normalisation, and the share of the mean idf that replaces a negative one.
 K1 = 1.5
@@ -58,9 +59,13 @@ def raw_idf(df: Column, n_docs: Column) -> Column:
 
 
 def corpus_stats(docs: DataFrame) -> CorpusStats:
-    """Document frequency and idf per term; terms in over half of the documents get a share of the mean idf."""
+    """Document frequency and idf per term; terms in over half of the documents get a share of the mean idf.
+
+    The terms are counted once and written, since their mean and every later use read them again.
+    """
     totals = corpus_totals(docs)
-    raw = document_frequencies(docs).withColumn("raw", raw_idf(F.col("df"), totals.select("n_docs").scalar()))
+    idf_column = raw_idf(F.col("df"), totals.select("n_docs").scalar())
+    raw = stage(document_frequencies(docs).withColumn("raw", idf_column), "terms")
     mean_idf = raw.agg(F.avg("raw").alias("mean_idf")).scalar()
     idf = F.when(F.col("raw") < 0, F.lit(EPSILON) * mean_idf).otherwise(F.col("raw"))
     return CorpusStats(raw.select("term", "df", idf.alias("idf")), totals)
