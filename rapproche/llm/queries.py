@@ -5,6 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from rapproche.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,3 +39,63 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 
     model = BpeModel.load(str(public_tokenizers.path("word_bpe_49k.json")))
     return digests(table(spark, folder, "documents"), model, "doc_id")
+
+
+@query("op6_line_dedup", """
+WITH lines AS (
+  SELECT doc_id, i, line,
+         translate(regexp_replace(line, '^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$', '', 'g'),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+               generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents)),
+repeated AS (
+  SELECT key, max(doc_id) AS last_doc FROM lines WHERE length(key) >= 20
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+marked AS (
+  SELECT l.doc_id, l.i, l.line, coalesce(l.doc_id < r.last_doc, false) AS dropped
+  FROM lines l LEFT JOIN repeated r USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+""")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    from rapproche.llm.line_dedup import dedup_lines
+
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return dedup_lines(docs, scratch_path(spark, "lines")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256")
+    )
+
+
+def _secret_sql() -> str:
+    """Spans from the gaps between matches, as in the operator; found in every text, without an index."""
+    from rapproche.llm.secret_scan import BASE_RULES, RULES
+
+    parts = []
+    for number, rule in enumerate(RULES):
+        pattern = rule.pattern.replace("'", "''")
+        parts.append(f"""
+SELECT doc_id, '{rule.kind}' AS kind, {number} AS number,
+       unnest(list_transform(range(1, len(m) + 1), lambda i: {{'s': list_sum([length(x) for x in g[1:i]])
+         + coalesce(list_sum([length(x) for x in m[1:i - 1]]), 0), 'm': length(m[i]), 'v': length(v[i])}})) AS span
+FROM (SELECT doc_id, string_split_regex(text, '{pattern}') AS g, regexp_extract_all(text, '{pattern}') AS m,
+             regexp_extract_all(text, '{pattern}', {rule.group}) AS v FROM documents
+      WHERE regexp_matches(text, '{pattern}'))""")
+    least = " ".join(f"WHEN '{r.kind}' THEN {r.least}" for r in RULES)
+    base = ", ".join(f"'{r.kind}'" for r in BASE_RULES)
+    joined = "string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, number)"
+    counts = ", ".join(f"count(*) FILTER (WHERE kind = '{r.kind}') AS n_{r.kind}" for r in BASE_RULES)
+    return f"""
+WITH spans AS ({" UNION ALL ".join(parts)}),
+kept AS (SELECT doc_id, kind, number, CAST(span.s AS BIGINT) AS s, CAST(span.s + span.m AS BIGINT) AS e FROM spans
+         WHERE span.v >= CASE kind {least} END)
+SELECT d.doc_id, {counts},
+       sha256(coalesce({joined} FILTER (WHERE kind IN ({base})), '')) AS base_sha256, coalesce({joined}, '') AS spans
+FROM documents d LEFT JOIN kept USING (doc_id) GROUP BY d.doc_id"""
+
+
+@query("op1_secret_scan", _secret_sql())
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    from rapproche.llm.secret_scan import digests
+
+    return digests(table(spark, folder, "documents"))
