@@ -99,3 +99,10 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     from rapproche.llm.secret_scan import digests
 
     return digests(table(spark, folder, "documents"))
+
+
+@query("op9_quality_rules")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    from rapproche.llm.quality import digests
+
+    return digests(table(spark, folder, "documents"), table(spark, folder, "labels"))
