@@ -106,3 +106,32 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     from rapproche.llm.quality import digests
 
     return digests(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op3_minhash_dedup")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    from rapproche.llm.minhash import components_of
+
+    return components_of(table(spark, folder, "documents"), size=2)
+
+
+@query("op10_substring_dedup", """
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, s, md5(array_to_string(w[s:s + 49], ' ')) AS h
+  FROM words, LATERAL (SELECT unnest(range(1, len(w) - 48)) AS s)),
+early AS (SELECT h, min(doc_id) AS first_doc FROM windows GROUP BY h HAVING min(doc_id) < max(doc_id)),
+found AS (SELECT doc_id, s FROM windows JOIN early USING (h) WHERE doc_id > first_doc),
+gone AS (SELECT DISTINCT doc_id, s + k AS i FROM found, (SELECT unnest(range(0, 50)) AS k)),
+one AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM words),
+rest AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept, count(*) AS n FROM one ANTI JOIN gone USING (doc_id, i)
+  GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM words LEFT JOIN rest USING (doc_id)
+""")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    from rapproche.llm.substrings import digests
+
+    return digests(table(spark, folder, "documents"))
