@@ -135,3 +135,75 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     from rapproche.llm.substrings import digests
 
     return digests(table(spark, folder, "documents"))
+
+
+def _mixing_sql() -> str:
+    """Fitting written out sweep by sweep; the factor is found among the sorted ratios."""
+    from rapproche.llm.mixing import DIMENSIONS, OTHER_TOPIC, SWEEPS, TEMPER, TOPICS, WORD
+
+    topic = " ".join(f"WHEN regexp_matches(text, '{p}') THEN '{n}'" for n, p in TOPICS)
+    steps, last = [], "start"
+    for sweep in range(SWEEPS):
+        for name in DIMENSIONS:
+            steps.append(
+                f"s{sweep}_{name} AS MATERIALIZED (SELECT * REPLACE (CASE WHEN sum(w) OVER (PARTITION BY {name}) > 0 "
+                f"THEN w * t_{name} / sum(w) OVER (PARTITION BY {name}) ELSE 0 END AS w) FROM {last})"
+            )
+            last = f"s{sweep}_{name}"
+    shares = ", ".join(
+        f"{n}s AS (SELECT {n}, pow(sum(w), {TEMPER[n]}) / sum(pow(sum(w), {TEMPER[n]})) OVER () AS t_{n} FROM cells GROUP BY {n})"
+        for n in DIMENSIONS
+    )
+    return f"""
+WITH docs AS MATERIALIZED (
+  SELECT doc_id, source, lang, CASE {topic} ELSE '{OTHER_TOPIC}' END AS topic,
+         len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS n_tokens FROM documents),
+cells AS MATERIALIZED (
+  SELECT source, lang, topic, sum(n_tokens) AS tokens, sum(n_tokens) / (SELECT sum(n_tokens) FROM docs) AS w
+  FROM docs GROUP BY ALL),
+{shares},
+start AS MATERIALIZED (
+  SELECT c.*, t_source, t_lang, t_topic, w AS own FROM cells c JOIN sources USING (source) JOIN langs USING (lang)
+  JOIN topics USING (topic)),
+{", ".join(steps)},
+raked AS MATERIALIZED (SELECT source, lang, topic, tokens, w / own AS ratio FROM {last}),
+sorted AS (
+  SELECT ratio, (0.5 * (SELECT sum(tokens) FROM raked) - coalesce(sum(tokens) OVER before, 0))
+    / sum(tokens * ratio) OVER after AS factor
+  FROM raked WINDOW before AS (ORDER BY ratio DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                    after AS (ORDER BY ratio DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+fitting AS (SELECT arg_max(factor, ratio) AS factor FROM sorted WHERE factor > 0 AND factor * ratio <= 1)
+SELECT doc_id, source, lang, topic, CAST(n_tokens AS BIGINT) AS n_tokens,
+       round(least(1.0, ratio * factor), 6) AS probability,
+       ('0x' || substr(md5('0:' || doc_id), 1, 13))::BIGINT / pow(2, 52) < round(least(1.0, ratio * factor), 6) AS kept
+FROM docs JOIN raked USING (source, lang, topic), fitting"""
+
+
+@query("op7_source_mixing", _mixing_sql())
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    from rapproche.llm.mixing import digests
+
+    return digests(table(spark, folder, "documents"))
+
+
+@query("op8_vector_dedup", """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b USING (label)
+  WHERE a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.93),
+reach AS (
+  SELECT a AS node, b AS other FROM links UNION SELECT node, l.b FROM reach JOIN links l ON other = l.a),
+least AS (SELECT node, min(other) AS other FROM reach GROUP BY node),
+degrees AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(other, vec_id)) AS component_id,
+       vec_id <= coalesce(other, vec_id) AS kept
+FROM embeddings LEFT JOIN least ON vec_id = node LEFT JOIN degrees ON vec_id = a
+""")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    from rapproche.llm.vector_dedup import near_duplicates
+
+    return near_duplicates(table(spark, folder, "embeddings"))
