@@ -207,3 +207,10 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     from rapproche.llm.vector_dedup import near_duplicates
 
     return near_duplicates(table(spark, folder, "embeddings"))
+
+
+@query("op2_html_text")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    from rapproche.llm.html_text import digests
+
+    return digests(table(spark, folder, "pages"))
