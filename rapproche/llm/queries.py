@@ -214,3 +214,18 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     from rapproche.llm.html_text import digests
 
     return digests(table(spark, folder, "pages"))
+
+
+@query("op4_masked_lm")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    from rapproche.llm.masked_lm import score, train
+
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return score(docs, train(docs)).select("doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood")
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, folder)
