@@ -22,10 +22,12 @@ TERM_ROW_BYTES = 64
 
 @dataclass(frozen=True)
 class CorpusStats:
-    """``idf(term, df, idf)`` and the one-row ``totals(n_docs, avgdl)``."""
+    """``idf(term, df, idf)``, the one-row ``totals(n_docs, avgdl)``, and the counted ``terms`` of the corpus ``docs``."""
 
     idf: DataFrame
     totals: DataFrame
+    docs: DataFrame | None = None
+    terms: DataFrame | None = None
 
 
 def document_lengths(docs: DataFrame) -> DataFrame:
@@ -45,15 +47,6 @@ def corpus_totals(docs: DataFrame) -> DataFrame:
     return docs.agg(F.count("*").alias("n_docs"), F.avg(F.size("tokens")).alias("avgdl"))
 
 
-def document_frequencies(docs: DataFrame) -> DataFrame:
-    """Documents that hold each term; a document's own repeats are dropped before the shuffle."""
-    return (
-        docs.select(F.explode(F.array_distinct("tokens")).alias("term"))
-        .groupBy("term")
-        .agg(F.count("*").alias("df"))
-    )
-
-
 def raw_idf(df: Column, n_docs: Column) -> Column:
     return F.log(n_docs - df + 0.5) - F.log(df + 0.5)
 
@@ -61,14 +54,17 @@ def raw_idf(df: Column, n_docs: Column) -> Column:
 def corpus_stats(docs: DataFrame) -> CorpusStats:
     """Document frequency and idf per term; terms in over half of the documents get a share of the mean idf.
 
-    The terms are counted once and written, since their mean and every later use read them again.
+    Terms and totals are counted once and written: frequencies, their mean and the weights of the same corpus read
+    them again.
     """
-    totals = corpus_totals(docs)
+    totals = stage(corpus_totals(docs), "totals")
+    terms = stage(term_counts(docs), "term-counts")
     idf_column = raw_idf(F.col("df"), totals.select("n_docs").scalar())
-    raw = stage(document_frequencies(docs).withColumn("raw", idf_column), "terms")
+    frequencies = terms.groupBy("term").agg(F.count("*").alias("df"))  # a row per document and term
+    raw = stage(frequencies.withColumn("raw", idf_column), "terms")
     mean_idf = raw.agg(F.avg("raw").alias("mean_idf")).scalar()
     idf = F.when(F.col("raw") < 0, F.lit(EPSILON) * mean_idf).otherwise(F.col("raw"))
-    return CorpusStats(raw.select("term", "df", idf.alias("idf")), totals)
+    return CorpusStats(raw.select("term", "df", idf.alias("idf")), totals, docs, terms)
 
 
 def term_weight(idf: Column, tf: Column, doc_len: Column, avgdl: Column) -> Column:
@@ -78,7 +74,8 @@ def term_weight(idf: Column, tf: Column, doc_len: Column, avgdl: Column) -> Colu
 def weighted_terms(docs: DataFrame, stats: CorpusStats, limits: SkewLimits = SkewLimits()) -> DataFrame:
     """(id, term, tf, doc_len, weight) for every term of every document."""
     idf = stats.idf.select(F.col("term").alias("_term"), "idf")
-    counts = lookup_join(term_counts(docs), idf, "term", "_term", TERM_ROW_BYTES, limits=limits)
+    own = stats.terms if stats.terms is not None and docs is stats.docs else term_counts(docs)
+    counts = lookup_join(own, idf, "term", "_term", TERM_ROW_BYTES, limits=limits)
     avgdl = stats.totals.select("avgdl").scalar()
     weight = term_weight(F.col("idf"), F.col("tf"), F.col("doc_len"), avgdl)
     return counts.select("id", "term", "tf", "doc_len", weight.alias("weight"))

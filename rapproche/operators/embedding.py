@@ -127,11 +127,15 @@ def document_vectors(
     """(id, vector): mean of token vectors, weighted by BM25 when ``stats`` is given.
 
     When the token table fits the broadcast bound, as it does for a subword vocabulary, every document is worked out
-    where it lies, without a shuffle. Otherwise tokens are joined to their vectors and summed by document.
+    where it lies, without a shuffle. Otherwise tokens are joined to their vectors and summed by document. Either way
+    there is a row per document; one without a known token has the zero vector.
     """
     if not fits_broadcast(vectors, 8 * size + 128, limits):
         terms = bm25.weighted_terms(docs, stats, limits) if stats else bm25.plain_terms(docs)
-        return bm25.mean_vectors(terms, vectors, limits, size)
+        means = bm25.mean_vectors(terms, vectors, limits, size).withColumnRenamed("id", "_id")
+        zero = F.array_repeat(F.lit(0.0), size)
+        rows = docs.select("id").join(means, F.col("id") == F.col("_id"), "left")
+        return rows.select("id", F.coalesce("vector", zero).alias("vector"))
     if stats is None:
         table, avgdl = vectors.select("token", F.lit(None).cast("double").alias("idf"), "vector"), 1.0
     else:

@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rapproche.session import scratch_path
+from rapproche.session import scratch_path, stage
+
+
+def part_number(file: str) -> int:
+    """Number of a part file. Names are padded to five digits only, so they do not sort as their numbers do."""
+    return int(re.match(r"part-(\d+)", file)[1])
 
 
 def number_rows(df: DataFrame, order: list[str], name: str) -> DataFrame:
@@ -17,12 +24,13 @@ def number_rows(df: DataFrame, order: list[str], name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, "numbered")
+    df = stage(df, "to-number")  # sorting reads its input twice, for the ranges and for the rows
     df.orderBy(*order).write.parquet(path)
     rows = spark.read.schema(df.schema).parquet(path).select(
         "*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row")
     )
     offsets, before = [], 0
-    for file, count in sorted(tuple(r) for r in rows.groupBy("_file").count().collect()):
+    for file, count in sorted((tuple(r) for r in rows.groupBy("_file").count().collect()), key=lambda r: part_number(r[0])):
         offsets.append((file, before))
         before += count
     schema = T.StructType([T.StructField("_file", T.StringType()), T.StructField("_before", T.LongType())])

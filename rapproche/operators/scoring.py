@@ -30,7 +30,7 @@ def hydrate(
         columns = [F.col(c).alias(f"{name}_{c}") for c in (*FIELDS, "tokens")]
         return entries.select(F.col("id").alias(f"_{name}"), *columns)
 
-    hot = (hot_keys(candidates, "reference_id", limits), {})
+    hot = (hot_keys(candidates, "reference_id", limits), None)
     with_reference = salted_join(candidates, side(references, "reference"), "reference_id", "_reference", "inner", limits, hot)
     with_both = with_reference.join(side(queries, "query"), F.col("query_id") == F.col("_query"))
     return with_both.drop("_query", "_reference")

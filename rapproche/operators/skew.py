@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-TRACKED_KEYS = 1000
-REPORTED_KEYS = 64
+from rapproche.session import stage
+
+HOT_ROW_BYTES = 128
 
 
 @dataclass(frozen=True)
@@ -19,29 +20,28 @@ class SkewLimits:
     broadcast_bytes: int = 64 * 1024 * 1024
 
 
-def hot_keys(df: DataFrame, key: str, limits: SkewLimits = SkewLimits()) -> dict:
-    """Keys with more than ``task_rows`` rows and their counts, from one narrow scan.
+def hot_keys(df: DataFrame, key: str, limits: SkewLimits = SkewLimits()) -> DataFrame:
+    """All keys with more than ``task_rows`` rows: (_hot, _rows), counted exactly and written once.
 
-    The counts come from frequent-item sketches merged in two rounds, at most ``REPORTED_KEYS`` of them, so neither a
-    task nor the driver sees more than a fixed number of keys. They steer only the split: any value gives right joins.
+    They are fewer than the rows over ``task_rows``. Should they still outgrow the broadcast bound, those with the
+    fewest rows are left whole; the table steers only the split, and any such table gives right joins.
     """
-    sketches = (
-        df.where(F.col(key).isNotNull())
-        .groupBy(F.expr("spark_partition_id() % 64").alias("part"))
-        .agg(F.expr(f"approx_top_k_accumulate(`{key}`, {TRACKED_KEYS})").alias("sketch"))
-    )
-    merged = F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {TRACKED_KEYS}), {REPORTED_KEYS})")
-    found = sketches.groupBy(F.col("part") < 0).agg(merged.alias("top")).collect()  # one group, or none without rows
-    top = found[0]["top"] if found else []
-    return {row["item"]: row["count"] for row in top if row["count"] > limits.task_rows}
+    counted = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_hot")).agg(F.count("*").alias("_rows"))
+    found = stage(counted.where(F.col("_rows") > limits.task_rows), "hot-keys")
+    least = limits.task_rows
+    while not fits_broadcast(found, HOT_ROW_BYTES, limits):
+        least *= 2
+        found = found.where(F.col("_rows") > least)
+    return found
 
 
-def _shares(key: Column, counts: dict, task_rows: int) -> Column:
-    """Number of parts each key is split in: 1 for all but the hot keys."""
-    shares = F.lit(1)
-    for value, count in counts.items():
-        shares = F.when(key == F.lit(value), F.lit(-(-count // task_rows))).otherwise(shares)
-    return shares
+def _with_parts(df: DataFrame, key: str, hot: DataFrame | None, task_rows: int, name: str) -> DataFrame:
+    """``df`` with the number of parts its key is split in: 1 for all but the hot keys."""
+    if hot is None:
+        return df.withColumn(name, F.lit(1))
+    parts = hot.select("_hot", F.ceil(F.col("_rows") / task_rows).cast("int").alias("_parts"))
+    joined = df.join(F.broadcast(parts), F.col(key) == F.col("_hot"), "left")
+    return joined.withColumn(name, F.coalesce("_parts", F.lit(1))).drop("_hot", "_parts")
 
 
 def salted_join(
@@ -51,7 +51,7 @@ def salted_join(
     right_key: str,
     how: str = "inner",
     limits: SkewLimits = SkewLimits(),
-    hot: tuple[dict, dict] | None = None,
+    hot: tuple[DataFrame | None, DataFrame | None] | None = None,
 ) -> DataFrame:
     """Equi-join whose hot keys are cut in blocks: the rows of each side are dealt to parts and copied to each part of
     the other side, so every pair meets exactly once and no task holds more than ``task_rows`` rows a side of one key.
@@ -61,18 +61,22 @@ def salted_join(
     """
     keep_left = how in ("left", "left_outer", "left_semi", "leftsemi", "left_anti", "leftanti")
     if hot is None:
-        hot = (hot_keys(left, left_key, limits), {} if keep_left else hot_keys(right, right_key, limits))
-    hot_left, hot_right = hot
+        hot = (hot_keys(left, left_key, limits), None if keep_left else hot_keys(right, right_key, limits))
+    hot_left, hot_right = (None if h is None or h.isEmpty() else h for h in hot)
     on = F.col(left_key) == F.col(right_key)
-    if not hot_left and not hot_right:
+    if hot_left is None and hot_right is None:
         return left.join(right, on, how)
 
-    def dealt(df: DataFrame, key: str, own: dict, other: dict, own_salt: str, other_salt: str) -> DataFrame:
-        own_parts = _shares(F.col(key), own, limits.task_rows)
-        other_parts = _shares(F.col(key), other, limits.task_rows)
+    def dealt(
+        df: DataFrame, key: str, own: DataFrame | None, other: DataFrame | None, own_salt: str, other_salt: str
+    ) -> DataFrame:
+        row = F.xxhash64(*df.columns)
+        df = _with_parts(df.withColumn("_row", row), key, own, limits.task_rows, "_own")
+        df = _with_parts(df, key, other, limits.task_rows, "_other")
         # Never null, so that the join infers no filter on it and pushes no copy of the row's expressions down.
-        part = F.coalesce(F.pmod(F.xxhash64(*df.columns), own_parts).cast("int"), F.lit(0))
-        return df.withColumn(own_salt, part).withColumn(other_salt, F.explode(F.sequence(F.lit(0), other_parts - 1)))
+        part = F.coalesce(F.pmod("_row", "_own").cast("int"), F.lit(0))
+        copies = F.explode(F.sequence(F.lit(0), F.col("_other") - 1))
+        return df.withColumn(own_salt, part).withColumn(other_salt, copies).drop("_row", "_own", "_other")
 
     a = dealt(left, left_key, hot_left, hot_right, "_l0", "_r0")
     b = dealt(right, right_key, hot_right, hot_left, "_r1", "_l1")
@@ -98,4 +102,4 @@ def lookup_join(
     """Join with a table of unique keys: broadcast when its counted size allows, else split by hot keys."""
     if fits_broadcast(table, row_bytes, limits):
         return big.join(F.broadcast(table), F.col(big_key) == F.col(table_key), how)
-    return salted_join(big, table, big_key, table_key, how, limits, (hot_keys(big, big_key, limits), {}))
+    return salted_join(big, table, big_key, table_key, how, limits, (hot_keys(big, big_key, limits), None))

@@ -17,10 +17,13 @@ ENTRY_SCHEMA = T.StructType(
 
 
 def write_entries(entries: DataFrame, path: str, files_by: str | None = None) -> None:
-    """Replace the table at ``path``, columns in their fixed order; ``files_by`` groups rows of like key in files."""
+    """Replace the table at ``path``, columns in their fixed order; ``files_by`` sorts each file by a key.
+
+    Rows stay in their tasks: a common key, such as the blank id, is not brought together.
+    """
     rows = entries.select(*[c for c in ENTRY_SCHEMA.fieldNames() if c in entries.columns])
     if files_by:
-        rows = rows.repartitionByRange(files_by).sortWithinPartitions(files_by)
+        rows = rows.sortWithinPartitions(files_by)
     rows.write.mode("overwrite").parquet(path)
 
 

@@ -42,13 +42,15 @@ def test_document_vectors_in_place_and_joined(spark, docs):
     vectors = spark.createDataFrame([(t, [float(x) for x in v]) for t, v in table.items()], "token string, vector array<double>")
     stats = bm25.corpus_stats(docs)
     weights = brute_weights()
+    docs = docs.union(spark.createDataFrame([(99, ["unknown"])], docs.schema))
     for tokens_stats in (stats, None):
         expected = {
-            i: sum(table[t] * (weights[i, t] if tokens_stats else 1.0) for t in tokens if t in table) / len(tokens)
-            for i, tokens in DOCS if tokens
+            i: sum((table[t] * (weights[i, t] if tokens_stats else 1.0) for t in tokens if t in table), np.zeros(4))
+            / max(len(tokens), 1)
+            for i, tokens in [*DOCS, (99, ["unknown"])]
         }
         for limits in (SkewLimits(), SkewLimits(task_rows=2, broadcast_bytes=1)):
-            rows = embedding.document_vectors(docs.where("id < 5"), vectors, tokens_stats, 4, limits).collect()
+            rows = embedding.document_vectors(docs, vectors, tokens_stats, 4, limits).collect()
             assert {r["id"] for r in rows} == set(expected)
             for r in rows:
                 assert np.allclose(r["vector"], expected[r["id"]])

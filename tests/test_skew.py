@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rapproche.operators.matching import link_by_id, unmatched
-from rapproche.operators.numbering import number_rows
+from rapproche.operators.numbering import number_rows, part_number
 from rapproche.operators.skew import SkewLimits, fits_broadcast, hot_keys, lookup_join, salted_join
 
 LOW = SkewLimits(task_rows=20)
@@ -19,8 +19,23 @@ def sides(spark):
 
 
 def test_hot_keys_are_found(sides):
-    assert hot_keys(sides[0], "k", LOW) == {"": 100}
-    assert hot_keys(sides[0].where("false"), "k", LOW) == {}
+    assert [tuple(r) for r in hot_keys(sides[0], "k", LOW).collect()] == [("", 100)]
+    assert hot_keys(sides[0].where("false"), "k", LOW).count() == 0
+
+
+def test_any_number_of_hot_keys_is_split(spark):
+    left = spark.range(9000).select((F.col("id") % 3000).alias("k"), F.col("id").alias("l"))
+    right = spark.range(6000).select((F.col("id") % 3000).alias("k2"), F.col("id").alias("r"))
+    limits = SkewLimits(task_rows=1)
+    assert hot_keys(left, "k", limits).count() == 3000
+    split = salted_join(left, right, "k", "k2", "inner", limits)
+    assert split.count() == 18_000 and split.distinct().count() == 18_000
+
+
+def test_hot_keys_beyond_the_broadcast_bound_are_left_whole(spark):
+    rows = spark.range(100).select(F.when(F.col("id") < 60, 0).otherwise(F.col("id") % 10 + 1).alias("k"))
+    assert hot_keys(rows, "k", SkewLimits(task_rows=2)).count() == 11
+    assert [tuple(r) for r in hot_keys(rows, "k", SkewLimits(task_rows=2, broadcast_bytes=256)).collect()] == [(0, 60)]
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
@@ -56,6 +71,7 @@ def test_numbers_are_consecutive_in_order(spark):
     numbered = number_rows(rows, ["x"], "n").orderBy("n").collect()
     assert [(r["n"], r["x"]) for r in numbered] == [(i + 1, i) for i in range(1000)]
     assert number_rows(rows.where("false"), ["x"], "n").count() == 0
+    assert part_number("part-99999-a.parquet") < part_number("part-100000-a.parquet")
 
 
 def _entries(spark, rows):
