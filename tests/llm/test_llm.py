@@ -206,6 +206,29 @@ def test_chain_links_across_buckets(spark):
     assert {r["component_id"] for r in got.collect()} == {0}
 
 
+def test_family_of_near_copies_with_loners(spark, monkeypatch):
+    """Copies with few to many edits of one text: some link, some are near but alone."""
+    monkeypatch.setattr(minhash, "FAMILY_BLOCK", 16)
+    r = random.Random(4)
+    base = [f"b{i}" for i in range(150)]
+    texts = []
+    for i in range(150):
+        w = list(base)
+        for _ in range(r.choice([1, 4, 8, 14, 20])):
+            w[r.randrange(150)] = f"e{r.randrange(3000)}"
+        texts.append(" ".join(w))
+    for i in range(20):  # linked with each other, not with the rest
+        w = texts[3].split(" ")
+        w[::7] = [f"g{k}" for k in range(len(w[::7]))]
+        w[i] = f"h{i}"
+        texts.append(" ".join(w))
+    got = by_id(minhash.components_of(docs_of(spark, [(i, t, "en", "a", 0) for i, t in enumerate(texts)]), 2))
+    want = brute_components(list(enumerate(texts)), 2)
+    assert {i: r["component_id"] for i, r in got.items()} == {i: c for i, (_, c) in want.items()}
+    sizes = Counter(c for _, c in want.values())
+    assert len(sizes) > 20 and sizes.most_common(1)[0][1] > 60
+
+
 def test_odd_sketch_estimates_similarity():
     r = np.random.default_rng(0)
     for share in (0.8, 0.9, 0.97):
