@@ -12,6 +12,7 @@ columns are passed on, and columns named like the results are replaced.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import json
 import re
@@ -63,6 +64,7 @@ class BpeModel:
     merges: list[tuple[str, str]]
     special: dict[str, int]
     suffix: str
+    digest: str
 
     @classmethod
     def load(cls, path: str) -> BpeModel:
@@ -77,6 +79,7 @@ class BpeModel:
             [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]],
             {t["content"]: t["id"] for t in data["added_tokens"]},
             model["end_of_word_suffix"] or "",
+            hashlib.sha256(content).hexdigest(),
         )
 
     def strings(self) -> list[str]:
@@ -132,7 +135,15 @@ class Encoder:
         return [s for s in symbol if s >= 0]
 
     def chunk(self, text: str) -> list[int]:
-        ids = [i for piece in pieces(text) for i in self.word(piece)]
+        ids: list[int] = []
+        for piece in pieces(text):
+            found = self.store.get(piece)  # a piece on its own is a chunk too
+            if found is None:
+                found = self.keep(piece, self.word(piece))
+            ids += found
+        return self.keep(text, ids)
+
+    def keep(self, text: str, ids: list[int]) -> list[int]:
         if len(self.store) >= STORE:
             self.store.clear()
         self.store[text] = ids
@@ -162,6 +173,17 @@ class Encoder:
         return ids
 
 
+#: The encoder of a worker process, which serves many tasks.
+_held: dict[str, Encoder] = {}
+
+
+def _encoder(model: BpeModel) -> Encoder:
+    if model.digest not in _held:
+        _held.clear()
+        _held[model.digest] = Encoder(model)
+    return _held[model.digest]
+
+
 def _with_column(df: DataFrame, name: str, kind: pa.DataType, make) -> DataFrame:
     """``df`` with one more column, made from the Arrow column that ``make`` names first."""
     source, convert = make
@@ -184,7 +206,7 @@ def encode(docs: DataFrame, model: BpeModel, text: str = "text", ids: str = "ids
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def start():
-        encoder = Encoder(sent.value)
+        encoder = _encoder(sent.value)
 
         def column(texts: pa.Array) -> pa.Array:
             offsets, flat = [0], []
