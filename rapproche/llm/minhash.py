@@ -36,11 +36,11 @@ from rapproche.llm.components import components
 from rapproche.llm.words import Words, mix, slices
 from rapproche.session import stage
 
-BANDS, ROWS = 40, 5
+BANDS, ROWS = 69, 7
 #: Bits of an odd sketch.
-BITS = 512
+BITS = 1024
 #: Pairs estimated this far below the threshold are dropped: five standard deviations of the differing bits at 0.8.
-MARGIN = 0.25
+MARGIN = 0.15
 #: A class whose estimate with a pivot is this far below the threshold is not near it.
 NEAR_MARGIN = 0.45
 #: Classes of a family that are compared with another such number at a time.
