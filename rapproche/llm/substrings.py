@@ -11,8 +11,8 @@ that no single reference holds is not taken. Factors have ``window`` words at le
 Windows are compared by 96-bit hashes of their words, which are not folded. A document equal in all words to one with a
 smaller id is a single factor and posts nothing.
 
-Null text has no words. Rows without id are no reference and stay whole. Rows that repeat an id are no references of
-each other. Other columns are passed on; ``text`` is replaced, and so are ``n_words``, ``n_removed`` and ``factors``.
+Null text has no words. Rows without id are no reference and stay whole. Rows that repeat an id are one document: they
+are no references of each other, and factors found in one of them are taken, at their places, out of all. Other columns are passed on; ``text`` is replaced, and so are ``n_words``, ``n_removed`` and ``factors``.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,8 +30,8 @@ from rapproche.llm.words import Words, mix, slices
 from rapproche.session import stage
 
 ANCHOR = 20
-#: Rows up to which a table of ids is broadcast to fetch or clean texts.
-BROADCAST_ROWS = 300_000
+#: Anchors or factors of all documents together up to which they are broadcast to fetch or clean texts.
+BROADCAST_ITEMS = 300_000
 
 WINDOWS = "doc_id long, start int, high long, low int"
 FACTORS = T.ArrayType(
@@ -111,61 +112,52 @@ def posted_windows(texts: DataFrame, window: int) -> DataFrame:
     return texts.mapInArrow(run, WINDOWS)
 
 
-def _fetch(docs: DataFrame, rows: DataFrame, kind: str) -> DataFrame:
-    """``docs`` joined to staged ``rows`` (by ``_doc``), which are broadcast only while they are few."""
-    small = rows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+def _fetch(docs: DataFrame, rows: DataFrame, items: str, kind: str) -> DataFrame:
+    """``docs`` joined to staged ``rows`` (by ``_doc``), which are broadcast only if their arrays ``items`` hold little."""
+    held = rows.agg(F.sum(F.size(items) + 1)).first()[0] or 0
+    small = held <= BROADCAST_ITEMS
     return docs.join(F.broadcast(rows) if small else rows, F.col("doc_id") == F.col("_doc"), kind)
 
 
 def parse(docs: DataFrame, window: int = 50) -> DataFrame:
-    """Found windows per document: (_doc, copy_of, found), ``found`` holding (start, reference).
+    """Factors per document: (_doc, factors), an array of (start, end, reference) in order.
 
-    ``copy_of`` is the smaller document that a document equals in all words.
+    A document that equals a smaller one has a single factor without end.
     """
     outlines = stage(outline(docs, window), "outlines")
     least = outlines.groupBy("high", "low").agg(F.min("doc_id").alias("least"))
     copies = outlines.select("doc_id", "high", "low").join(least, ["high", "low"]).where("doc_id > least")
-    copies = stage(copies.select(F.col("doc_id").alias("_doc"), F.col("least").alias("copy_of")).distinct(), "copies")
+    copies = stage(copies.select("doc_id", "least").distinct(), "copies")
 
-    single = outlines.join(copies.select(F.col("_doc").alias("doc_id")), "doc_id", "left_anti")
+    single = outlines.join(copies.select("doc_id"), "doc_id", "left_anti")
     anchors = single.select("doc_id", F.explode("anchors").alias("anchor"))
     shared = anchors.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
     shared = stage(shared.where("low < high").select("anchor"), "shared-anchors")
     per_doc = anchors.join(shared, "anchor").groupBy(F.col("doc_id").alias("_doc"))
     per_doc = stage(per_doc.agg(F.collect_set("anchor").alias("anchors")), "document-anchors")
 
-    texts = _fetch(docs.select(F.col("doc_id").cast("long"), "text"), per_doc, "inner").select("doc_id", "text", "anchors")
+    texts = _fetch(docs.select(F.col("doc_id").cast("long"), "text"), per_doc, "anchors", "inner").select("doc_id", "text", "anchors")
     posted = stage(posted_windows(texts, window), "windows")
     index = posted.groupBy("high", "low").agg(F.min("doc_id").alias("reference"), F.max("doc_id").alias("last"))
     index = index.where("reference < last").drop("last")
-    found = (
-        posted.join(index, ["high", "low"])
-        .where("doc_id > reference")
-        .groupBy(F.col("doc_id").alias("_doc"))
-        .agg(F.array_sort(F.collect_set(F.struct("start", "reference"))).alias("found"))
+    found = posted.join(index, ["high", "low"]).where("doc_id > reference").select("doc_id", "start", "reference")
+    # the greedy parse: a factor ends where the next window is not found, or found in another reference
+    order = W.partitionBy("doc_id").orderBy("start", "reference")
+    grows = (F.col("start") == F.lag("start").over(order) + 1) & (F.col("reference") == F.lag("reference").over(order))
+    begun = found.distinct().withColumn("begins", F.when(F.coalesce(grows, F.lit(False)), 0).otherwise(1))
+    numbered = begun.withColumn("factor", F.sum("begins").over(order.rowsBetween(W.unboundedPreceding, 0)))
+    spans = numbered.groupBy("doc_id", "factor", "reference").agg(
+        F.min("start").cast("long").alias("start"), (F.max("start") + window).cast("long").alias("end")
     )
-    return stage(
-        found.select("_doc", F.lit(None).cast("long").alias("copy_of"), "found")
-        .unionByName(copies.select("_doc", "copy_of", F.lit(None).cast("array<struct<start:int,reference:bigint>>").alias("found"))),
-        "found-windows",
-    )
-
-
-def factors(found: list[tuple[int, int]], window: int) -> list[tuple[int, int, int]]:
-    """Greedy factors (start, end, reference) from found windows in order."""
-    out: list[list[int]] = []
-    for start, reference in found:
-        if out and out[-1][2] == reference and start == out[-1][1] - window + 1:
-            out[-1][1] += 1
-        else:
-            out.append([start, start + window, reference])
-    return [tuple(f) for f in out]
+    whole = copies.select("doc_id", F.lit(0).cast("long").alias("start"), F.lit(None).cast("long").alias("end"), F.col("least").alias("reference"))
+    every = spans.select("doc_id", "start", "end", "reference").union(whole).groupBy(F.col("doc_id").alias("_doc"))
+    return stage(every.agg(F.array_sort(F.collect_list(F.struct("start", "end", "reference"))).alias("factors")), "factors")
 
 
 def remove_passages(docs: DataFrame, window: int = 50) -> DataFrame:
     """``docs`` with ``text`` reduced to the words outside all factors, joined by blanks, and the factors."""
     docs = docs.drop("n_words", "n_removed", "factors")
-    joined = _fetch(docs, parse(docs, window), "left")
+    joined = _fetch(docs, parse(docs, window).withColumnRenamed("factors", "_factors"), "_factors", "left")
     added = [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("factors", FACTORS)]
     names = [*docs.columns, "n_words", "n_removed", "factors"]
     place = docs.columns.index("text")
@@ -179,13 +171,13 @@ def remove_passages(docs: DataFrame, window: int = 50) -> DataFrame:
             for first, last in slices(texts):
                 part = batch.slice(first, last - first)
                 kept, counts, removed, spans = [], [], [], []
-                copy_of, found = part.column(batch.schema.get_field_index("copy_of")), part.column(batch.schema.get_field_index("found"))
+                found = part.column(part.num_columns - 1)
                 for i, text in enumerate(texts.slice(first, last - first)):
                     words = [w for w in (text.as_py() or "").translate(blanks).split(" ") if w]
-                    if copy_of[i].is_valid:
-                        own = [(0, len(words), copy_of[i].as_py())]
-                    else:
-                        own = factors([(f["start"], f["reference"]) for f in found[i].as_py() or ()], window)
+                    own = [
+                        (f["start"], len(words) if f["end"] is None else f["end"], f["reference"])
+                        for f in found[i].as_py() or ()
+                    ]
                     rest, end = [], 0
                     for f in own:
                         rest += words[end : max(end, f[0])]
@@ -200,7 +192,7 @@ def remove_passages(docs: DataFrame, window: int = 50) -> DataFrame:
                 columns += [pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, kind)]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    joined = joined.select(*[joined[c] for c in docs.columns], "copy_of", "found")
+    joined = joined.select(*[joined[c] for c in docs.columns], "_factors")
     return joined.mapInArrow(run, T.StructType([*docs.schema.fields, *added]))
 
 
