@@ -3,12 +3,13 @@
 The index is a folder of tables, one generation per change:
 
 * ``refs``: which document holds which line key, exact;
-* ``counts``: documents per key and the largest id among them, exact;
+* ``counts``: documents per key and the largest id among them, exact, of keys that two documents hold (a key in ``refs``
+  without a count has one document; an index with ``min_docs`` of one counts those too);
 * ``filters``: per shard of keys, a cuckoo filter of those that at least ``min_docs`` documents hold.
 
 A key is 128 bits of a line that is stripped of white space, with A-Z in lower case; keys under ``min_chars`` code
-points are not counted. Asking for a batch's repeated lines probes the filters with the batch's distinct keys, and only
-those that pass are looked up in the exact counts, so filters decide nothing by themselves. Deleting documents takes
+points are not counted. Asking for a batch's repeated lines probes the filters with the batch's keys, and only those that
+pass are looked up in the exact counts, so filters decide nothing by themselves. Deleting documents takes
 their references away, and keys that fall below ``min_docs`` leave their filter.
 
 Null text is one empty line. A document without id adds nothing to the index and keeps its lines. Rows that repeat an id
@@ -30,8 +31,10 @@ from pyspark.sql import types as T
 from rapproche.llm.cuckoo import CuckooFilter
 
 WHITE = " \t\n\v\f\r"
-#: Distinct keys a shard holds when the index is made.
+#: References a shard holds when the index is made.
 SHARD_KEYS = 100_000
+#: Keys a task remembers so as to ask for each once; a full memory is sent on and emptied.
+ASKED_KEYS = 200_000
 
 REFS = "high long, low long, doc_id long"
 COUNTS = "high long, low long, n_docs long, last_doc long"
@@ -66,6 +69,26 @@ def line_keys(docs: DataFrame, min_chars: int = 20) -> DataFrame:
     return held.mapInArrow(run, REFS)
 
 
+def asked_keys(docs: DataFrame, min_chars: int = 20) -> DataFrame:
+    """The line keys of ``docs`` as (high, low), each once per task or per ``ASKED_KEYS`` keys of it."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def sent(keys: set[bytes]) -> pa.RecordBatch:
+            halves = np.frombuffer(b"".join(keys), np.int64).reshape(-1, 2)
+            return pa.RecordBatch.from_arrays([pa.array(halves[:, 0]), pa.array(halves[:, 1])], names=["high", "low"])
+
+        keys: set[bytes] = set()
+        for batch in batches:
+            for text in batch.column(0):
+                keys.update(k for line in (text.as_py() or "").split("\n") if (k := line_key(line, min_chars)))
+                if len(keys) >= ASKED_KEYS:
+                    yield sent(keys)
+                    keys = set()
+        yield sent(keys)
+
+    return docs.where("doc_id is not null").select("text").mapInArrow(run, "high long, low long")
+
+
 class LineIndex:
     """The index in ``folder``, a place that all executors share; see the module's text."""
 
@@ -98,7 +121,7 @@ class LineIndex:
         if not self.generation:
             refs = self._write("refs", new)
             counts = self._write("counts", self._count(refs))
-            self.shards = max(1, -(-counts.count() // SHARD_KEYS))
+            self.shards = max(1, -(-refs.count() // SHARD_KEYS))
         else:
             refs = self._write("refs", self.refs.union(new).distinct())
             counts = self._write("counts", self._count(refs))
@@ -120,11 +143,9 @@ class LineIndex:
         df.select(*T._parse_datatype_string(schema).names).write.parquet(path)
         return self.spark.read.schema(schema).parquet(path)
 
-    @staticmethod
-    def _count(refs: DataFrame) -> DataFrame:
-        return refs.groupBy("high", "low").agg(
-            F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("last_doc")
-        )
+    def _count(self, refs: DataFrame) -> DataFrame:
+        counts = refs.groupBy("high", "low").agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("last_doc"))
+        return counts.where(F.col("n_docs") >= min(2, self.min_docs))
 
     def _shard(self):
         return F.pmod("high", F.lit(self.shards)).alias("shard")
@@ -158,7 +179,7 @@ class LineIndex:
         )
 
     def repeated(self, keys: DataFrame) -> DataFrame:
-        """Of distinct keys (high, low), those that ``min_docs`` documents hold, with ``last_doc``."""
+        """Of keys (high, low), each once, those that ``min_docs`` documents hold, with ``last_doc``."""
 
         def probe(filters: pa.Table, asked: pa.Table) -> pa.Table:
             asked = asked.select(["high", "low"])
@@ -173,12 +194,13 @@ class LineIndex:
             .cogroup(keys.select(self._shard(), "high", "low").groupBy("shard"))
             .applyInArrow(probe, "high long, low long")
         )
-        return possible.join(self._repeated(self.counts), ["high", "low"]).select("high", "low", "last_doc")
+        counts = self._repeated(self.counts)
+        return possible.distinct().join(counts, ["high", "low"]).select("high", "low", "last_doc")
 
     def clean(self, docs: DataFrame) -> DataFrame:
         """``docs`` without the lines that repeat, but for those in the largest document that holds them."""
         lines = line_keys(docs, self.min_chars)
-        last = self.repeated(lines.select("high", "low").distinct())
+        last = self.repeated(asked_keys(docs, self.min_chars))
         drops = (
             lines.join(last, ["high", "low"])
             .where("doc_id < last_doc")
