@@ -56,15 +56,14 @@ def covered_characters(words: DataFrame, coverage: float) -> DataFrame:
 def seed_pieces(words: DataFrame, config: SubwordConfig) -> DataFrame:
     """Frequent substrings of two or more characters, the best ``seed_size`` by count times length: (piece, n)."""
     length = F.length("word")
-    starts = F.sequence(F.lit(1), length - 1)
-
-    def pieces_from(start: Column) -> Column:
-        longest = F.least(length - start + 1, F.lit(config.max_piece_length))
-        return F.transform(F.sequence(F.lit(2), longest), lambda size: F.substring(F.col("word"), start, size))
-
+    # a row holds no more of a word than the longest piece, however long the word is
+    tail = F.col("word").substr(F.col("start"), F.lit(config.max_piece_length))
+    sizes = F.sequence(F.lit(2), F.length("tail"))
     return (
         words.where(length >= 2)
-        .select(F.explode(F.flatten(F.transform(starts, pieces_from))).alias("piece"), "n")
+        .select("word", F.explode(F.sequence(F.lit(1), length - 1)).alias("start"), "n")
+        .select(tail.alias("tail"), "n")
+        .select(F.explode(F.transform(sizes, lambda size: F.substring(F.col("tail"), F.lit(1), size))).alias("piece"), "n")
         .groupBy("piece")
         .agg(F.sum("n").alias("n"))
         .where("n >= 2")
