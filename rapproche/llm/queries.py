@@ -229,3 +229,13 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, folder)
+
+
+@query("op12_token_alignment")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    from rapproche.llm.alignment import Tokenizers, digests
+
+    paths = (str(public_tokenizers.path(name)) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return digests(table(spark, folder, "documents"), Tokenizers.load(*paths))
