@@ -239,3 +239,44 @@ def op12(spark: SparkSession, folder: str) -> DataFrame:
 
     paths = (str(public_tokenizers.path(name)) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
     return digests(table(spark, folder, "documents"), Tokenizers.load(*paths))
+
+
+def _codes_sql() -> str:
+    """Rounds written out; a part's key is its least squared distance times 256 plus the index, over all entries."""
+    steps = []
+    for r in range(5):
+        steps.append(f"""
+a{r} AS MATERIALIZED (
+  SELECT vec_id, p, min(CAST(list_inner_product(v, v) - 2 * list_inner_product(v, e.c) + list_inner_product(e.c, e.c) AS BIGINT)
+    * 256 + e.entry) AS key FROM parts JOIN e{r} e USING (p) GROUP BY vec_id, p)""")
+        if r < 4:
+            steps.append(f"""
+m{r} AS MATERIALIZED (
+  SELECT p, entry, list(CAST((s - ((s % n) + n) % n) // n AS DOUBLE) ORDER BY i) AS c FROM (
+    SELECT p, key % 256 AS entry, i, CAST(sum(v[i]) AS BIGINT) AS s, count(*) AS n
+    FROM a{r} JOIN parts USING (vec_id, p), (SELECT unnest(range(1, 17)) AS i) GROUP BY ALL) GROUP BY p, entry),
+e{r + 1} AS MATERIALIZED (
+  SELECT p, entry, coalesce(m.c, e.c) AS c FROM e{r} e LEFT JOIN m{r} m USING (p, entry))""")
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (SELECT vec_id, p, v[p * 16 + 1 : p * 16 + 16] AS v FROM kept, (SELECT unnest(range(4)) AS p)),
+e0 AS MATERIALIZED (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS entry, v AS c FROM parts
+  QUALIFY entry < 256),{",".join(steps)},
+books AS (
+  SELECT sha256(string_agg(CAST(CAST(x AS BIGINT) AS VARCHAR), ',' ORDER BY p, entry, i)) AS digest
+  FROM (SELECT p, entry, unnest(c) AS x, generate_subscripts(c, 1) AS i FROM e4)),
+coded AS (
+  SELECT vec_id, string_agg(lpad(lower(to_hex(key % 256)), 2, '0'), '' ORDER BY p) AS code, CAST(sum(key // 256) AS BIGINT) AS error
+  FROM a4 GROUP BY vec_id)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, digest AS codebooks_sha256
+FROM coded JOIN kept USING (vec_id), books"""
+
+
+@query("op13_vector_codes", _codes_sql())
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    from rapproche.llm.vector_codes import digests
+
+    return digests(table(spark, folder, "embeddings"))
