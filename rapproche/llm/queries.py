@@ -280,3 +280,10 @@ def op13(spark: SparkSession, folder: str) -> DataFrame:
     from rapproche.llm.vector_codes import digests
 
     return digests(table(spark, folder, "embeddings"))
+
+
+@query("op11_suffix_dedup")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    from rapproche.llm.byte_repeats import digests
+
+    return digests(table(spark, folder, "documents"))
