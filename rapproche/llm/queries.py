@@ -282,7 +282,27 @@ def op13(spark: SparkSession, folder: str) -> DataFrame:
     return digests(table(spark, folder, "embeddings"))
 
 
-@query("op11_suffix_dedup")
+@query("op11_suffix_dedup", """
+WITH docs AS MATERIALIZED (
+  SELECT doc_id, encode(coalesce(text, '')) AS b, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+strings AS MATERIALIZED (
+  SELECT doc_id, s, md5(b[s + 1:s + 200]) AS h FROM (SELECT doc_id, b, unnest(range(0, n - 199)) AS s FROM docs)),
+twice AS (SELECT h FROM strings GROUP BY h HAVING count(*) > 1),
+found AS (SELECT doc_id, s FROM strings SEMI JOIN twice USING (h)),
+begun AS (
+  SELECT doc_id, s, CASE WHEN s <= lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 200 THEN 0 ELSE 1 END AS begins FROM found),
+numbered AS (SELECT doc_id, s, sum(begins) OVER (PARTITION BY doc_id ORDER BY s) AS k FROM begun),
+spans AS (SELECT doc_id, min(s) AS a, max(s) + 200 AS z FROM numbered GROUP BY doc_id, k),
+gaps AS (
+  SELECT doc_id, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS a, a AS z FROM spans
+  UNION ALL SELECT doc_id, coalesce(max(spans.z), 0), any_value(n) FROM docs LEFT JOIN spans USING (doc_id) GROUP BY doc_id),
+rest AS (
+  SELECT doc_id, sha256(unhex(coalesce(string_agg(hex(b[a + 1:z]), '' ORDER BY a) FILTER (WHERE z > a), ''))) AS kept_sha256
+  FROM gaps JOIN docs USING (doc_id) GROUP BY doc_id),
+gone AS (SELECT doc_id, count(*) AS n_spans, CAST(sum(z - a) AS BIGINT) AS n_removed FROM spans GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, kept_sha256
+FROM docs JOIN rest USING (doc_id) LEFT JOIN gone USING (doc_id)
+""")
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     from rapproche.llm.byte_repeats import digests
 
