@@ -30,8 +30,10 @@ CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
 WHITE = "\t\n\v\f\r \x85\xa0  -     　"
 SEPARATORS = re.compile("[\x1c-\x1f]")  # str.split() parts at these, the file's rule does not
 
-#: Words kept with their ids by a task; a full store is emptied, which changes nothing but time.
-STORE = 400_000
+#: Bytes, roughly, of words that a worker keeps with their ids in each of two generations: a full one becomes the old one,
+#: whose words move up when they occur again. Longer chunks are not kept. Both change nothing but time and memory.
+STORE_BYTES = 12 << 20
+STORED_LENGTH = 48
 #: Broadcast bound of the vocabulary file.
 MOST_BYTES = 64 << 20
 
@@ -102,6 +104,8 @@ class Encoder:
         self.white = re.compile(f"[{WHITE}]+")
         self.marks = re.compile("(" + "|".join(map(re.escape, sorted(model.special, key=len, reverse=True))) + ")")
         self.store: dict[str, list[int]] = {}
+        self.older: dict[str, list[int]] = {}
+        self.held = 0
 
     def word(self, piece: str) -> list[int]:
         """Ids of one piece: the pair of lowest rank, leftmost first, is merged until no pair has a rank."""
@@ -135,18 +139,25 @@ class Encoder:
         return [s for s in symbol if s >= 0]
 
     def chunk(self, text: str) -> list[int]:
+        """Ids of a chunk that the store does not hold."""
+        if (found := self.older.get(text)) is not None:
+            return self.keep(text, found)
         ids: list[int] = []
         for piece in pieces(text):
             found = self.store.get(piece)  # a piece on its own is a chunk too
             if found is None:
-                found = self.keep(piece, self.word(piece))
+                found = self.older.get(piece)
+                found = self.keep(piece, self.word(piece) if found is None else found)
             ids += found
         return self.keep(text, ids)
 
     def keep(self, text: str, ids: list[int]) -> list[int]:
-        if len(self.store) >= STORE:
-            self.store.clear()
+        if len(text) > STORED_LENGTH:
+            return ids
+        if self.held >= STORE_BYTES:
+            self.store, self.older, self.held = {}, self.store, 0
         self.store[text] = ids
+        self.held += 200 + len(text) + 8 * len(ids)  # entry, string and list
         return ids
 
     def plain(self, text: str, ids: list[int]) -> None:
@@ -155,10 +166,9 @@ class Encoder:
         if "Σ" in text:  # lower case is taken sign by sign, without the final form
             text = text.replace("Σ", "σ")
         chunks = (self.white.split(text.lower())) if SEPARATORS.search(text) else text.lower().split()
-        store, chunk = self.store, self.chunk
         for c in chunks:
-            found = store.get(c)
-            ids += chunk(c) if found is None else found
+            found = self.store.get(c)
+            ids += self.chunk(c) if found is None else found
 
     def encode(self, text: str) -> list[int]:
         ids: list[int] = []

@@ -310,7 +310,7 @@ def test_bpe_matches_the_library(spark, model):
 def test_bpe_store_limit_changes_nothing(model, monkeypatch):
     texts = some_texts(30, 1)
     want = [bpe.Encoder(model).encode(t) for t in texts]
-    monkeypatch.setattr(bpe, "STORE", 3)
+    monkeypatch.setattr(bpe, "STORE_BYTES", 700)
     small = bpe.Encoder(model)
     assert [small.encode(t) for t in texts] == want
 
