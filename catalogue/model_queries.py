@@ -14,7 +14,9 @@ from rapproche.functions import similarity as M
 from rapproche.functions.text import collapse
 from rapproche.operators import bm25, embedding, neighbours, subword
 from rapproche.operators.matching import unmatched, with_tokens
+from rapproche.operators.model_store import corpus_statistics, fit_or_load
 from rapproche.operators.numbering import number_rows
+from rapproche.operators.skipgram import train_vectors
 from rapproche.plans.link import find_candidates, link_by_similarity, link_entries, train_models
 from rapproche.session import scratch_path, stage
 from rapproche.sources.files import read_national
@@ -64,10 +66,31 @@ def token_sets(spark, sf_dir):
 @query("s9_saved_vocabulary", f"""WITH {S.DOCS_CTE} SELECT token, count(*) AS n FROM (SELECT unnest(tokens) AS token
   FROM docs) t GROUP BY token HAVING count(*) >= 5""")
 def saved_vocabulary(spark, sf_dir):
-    path = scratch_path(spark, "vocabulary")
-    fit = lambda: embedding.vocabulary(documents(spark, sf_dir), 5)
-    embedding.fit_or_load(spark, path, fit)
-    return embedding.fit_or_load(spark, path, lambda: fit().limit(0), "token string, n long")
+    """Saved for five occurrences and for two; the first is found again by its settings."""
+    folder, docs = scratch_path(spark, "vocabulary"), documents(spark, sf_dir)
+    statistics = corpus_statistics(docs)
+
+    def table_of(count: int, fit: bool = True) -> DataFrame:
+        found = lambda: {"vocabulary": embedding.vocabulary(docs, count if fit else 1 << 40)}
+        return fit_or_load(spark, folder, {"min_count": count}, lambda: statistics, found)["vocabulary"]
+
+    table_of(5)
+    table_of(2)
+    return table_of(5, fit=False)
+
+
+@query("s9_saved_vectors", f"""WITH {S.DOCS_CTE}, tokens AS (SELECT unnest(tokens) AS token FROM docs)
+  SELECT token, 100 AS size, true AS equal FROM tokens GROUP BY token HAVING count(*) >= 5""")
+def saved_vectors(spark, sf_dir):
+    """Vectors trained with the shipped settings, saved, and read back: every component is the one that was saved."""
+    folder, docs, config = scratch_path(spark, "vectors"), documents(spark, sf_dir), EmbeddingConfig()
+    made = train_vectors(docs, config)[0]
+    save = lambda rows: fit_or_load(spark, folder, config, lambda: corpus_statistics(docs), lambda: {"words": rows})
+    save(made)
+    read = save(made.limit(0))["words"].select("token", F.col("vector").alias("saved"))
+    return made.join(read, "token", "left").select(
+        "token", F.size("saved").alias("size"), F.col("vector").eqNullSafe(F.col("saved")).alias("equal")
+    )
 
 
 # ------------------------------------------------------------------------------------------------ document vectors
@@ -226,6 +249,22 @@ def nearest_trees(spark, sf_dir):
     return _rounded(neighbours.nearest(*_backward_queries(spark, sf_dir), NeighbourConfig(leaf_size=128)))
 
 
+@query("j5_recall", "SELECT true AS enough, count(*) AS queries FROM embeddings")
+def recall(spark, sf_dir):
+    """With the shipped trees, in leaves small enough to need several levels, at least 95 in 100 queries find their true
+    nearest. Queries are all embeddings, each moved by a third of itself read backwards."""
+    rows = table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.col("embedding").cast("array<double>").alias("vector")
+    )
+    moved = F.zip_with("vector", F.reverse("vector"), lambda x, y: x + y / 3)
+    queries, references = rows.select(F.col("vec_id").alias("query_id"), moved.alias("vector")), rows.withColumnRenamed("vec_id", "reference_id")
+    trees = neighbours.nearest(queries, references, NeighbourConfig(leaf_size=64))
+    true = neighbours.nearest(queries, references, NeighbourConfig(leaf_size=64, exact=True))
+    both = trees.join(true.withColumnRenamed("reference_id", "true_id").drop("model_score"), "query_id", "right")
+    right = F.avg(F.col("reference_id").eqNullSafe(F.col("true_id")).cast("int"))
+    return both.agg((right >= 0.95).alias("enough"), F.count("*").alias("queries"))
+
+
 @query("w1_top_match", """SELECT l_orderkey AS query_id, l_partkey AS reference_id, l_extendedprice AS model_score
   FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice DESC, l_partkey) = 1""")
 def top_match(spark, sf_dir):
@@ -239,16 +278,29 @@ def top_match(spark, sf_dir):
 
 # ------------------------------------------------------------------------------------------------ trained models
 
-SMALL_SUBWORDS = SubwordConfig(vocab_size=2000, seed_size=8000, shrink=0.5, em_steps=1)
-
-
 def _document_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", collapse(F.col("text")).alias("text"))
 
 
-@query("a7_train_subwords")
+@query("a7_train_subwords", f"""WITH {S.SUBWORD_CTES}, c AS (SELECT count(*) AS n FROM covered)
+  SELECT true AS at_most_asked, true AS probabilities, true AS all_seeds, true AS short_enough, n AS characters FROM c""")
 def train_subwords(spark, sf_dir):
-    return subword.train_subwords(_document_texts(spark, sf_dir), SMALL_SUBWORDS)
+    """What must hold of a vocabulary trained with the shipped settings: its size, scores that are logarithms of
+    probabilities, pieces that are all frequent substrings or covered characters, and every covered character in it."""
+    words = stage(subword.word_counts(_document_texts(spark, sf_dir)), "words")
+    config = SubwordConfig()
+    pieces = stage(subword.train_subwords(_document_texts(spark, sf_dir), config), "pieces")
+    covered = stage(subword.covered_characters(words, config.character_coverage).select("piece"), "characters")
+    seeds = subword.seed_pieces(words, config).select("piece").union(covered)
+    strange = pieces.join(seeds, "piece", "left_anti").count()
+    held = covered.join(pieces, "piece", "left_semi").count()
+    return pieces.agg(
+        (F.count("*") <= config.vocab_size).alias("at_most_asked"),
+        (F.abs(F.sum(F.exp("score")) - 1) < 1e-6).alias("probabilities"),
+        F.lit(strange == 0).alias("all_seeds"),
+        (F.max(F.length("piece")) <= config.max_piece_length).alias("short_enough"),
+        F.lit(held).cast("long").alias("characters"),
+    )
 
 
 @query("a7_covered_characters", f"""WITH w AS (SELECT unnest({S.words('text')}) AS w FROM documents),
@@ -273,29 +325,81 @@ def word_counts(spark, sf_dir):
     FROM (SELECT word, n, length(word) AS len, unnest(range(1, length(word) + 1)) AS i FROM w) a,
       (SELECT unnest(range(2, 17)) AS size) b WHERE i + size - 1 <= len)
   SELECT piece, CAST(sum(n) AS BIGINT) AS n FROM subs GROUP BY piece HAVING sum(n) >= 2
-  ORDER BY sum(n) * length(piece) DESC, piece LIMIT 8000""")
+  ORDER BY sum(n) * length(piece) DESC, piece LIMIT 1000000""")
 def seed_pieces(spark, sf_dir):
     words = subword.word_counts(_document_texts(spark, sf_dir))
-    return subword.seed_pieces(words, SMALL_SUBWORDS).select("piece", "n")
+    return subword.seed_pieces(words, SubwordConfig()).select("piece", "n")
 
 
 @query("p29_encode_decode", f"SELECT doc_id, array_to_string({S.words('text')}, ' ') AS text FROM documents")
 def encode_decode(spark, sf_dir):
-    """Cutting the documents in pieces and putting them together again gives their text."""
+    """Cutting the documents in trained pieces and putting them together again gives their text."""
     texts = _document_texts(spark, sf_dir)
-    encode = subword.encoder(subword.train_subwords(texts, SMALL_SUBWORDS))
+    encode = subword.encoder(subword.train_subwords(texts, SubwordConfig()))
     return texts.select("doc_id", encode(F.col("text")).alias("pieces")).select(
         "doc_id", subword.decode(F.col("pieces")).alias("text")
     )
 
 
-EMBEDDING = EmbeddingConfig(vector_size=32, partitions=1)
-
-
-@query("a8_train_word_vectors")
+@query("p29_best_pieces", f"""WITH RECURSIVE {S.FIXED_PIECES_CTES},
+  -- s0 to s3 and c0 to c3: score and text of the best cutting of a word's first k signs and of up to three fewer; of
+  -- equals the one with the longest last piece
+  steps AS (
+    SELECT word, length(word) AS size, 0 AS k, CAST(0 AS BIGINT) AS s0, CAST(NULL AS BIGINT) AS s1,
+      CAST(NULL AS BIGINT) AS s2, CAST(NULL AS BIGINT) AS s3, '' AS c0, '' AS c1, '' AS c2, '' AS c3 FROM marked
+    UNION ALL
+    SELECT word, size, k + 1, best, s0, s1, s2, CASE WHEN t4 = best THEN concat(c3, ' ', p4) WHEN t3 = best THEN
+      concat(c2, ' ', p3) WHEN t2 = best THEN concat(c1, ' ', p2) ELSE concat(c0, ' ', p1) END, c0, c1, c2
+    FROM (SELECT *, greatest(t1, t2, t3, t4) AS best FROM (
+      SELECT s.*, a.piece AS p1, b.piece AS p2, c.piece AS p3, d.piece AS p4, s0 + a.score AS t1, s1 + b.score AS t2,
+        s2 + c.score AS t3, s3 + d.score AS t4
+      FROM steps s LEFT JOIN fixed a ON a.piece = substr(word, k + 1, 1) LEFT JOIN fixed b ON b.piece = substr(word, k, 2)
+        LEFT JOIN fixed c ON c.piece = substr(word, k - 1, 3) LEFT JOIN fixed d ON d.piece = substr(word, k - 2, 4)
+      WHERE k < size) t) t),
+  cut AS (SELECT word, trim(c0, ' ') AS pieces FROM steps WHERE k = size),
+  placed AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i
+    FROM (SELECT doc_id, {S.words('text')} AS w FROM documents) t)
+  SELECT doc_id, md5(coalesce(string_agg(pieces, ' ' ORDER BY i), '')) AS pieces
+  FROM documents LEFT JOIN placed USING (doc_id) LEFT JOIN cut ON cut.word = concat('▁', placed.word) GROUP BY doc_id""")
+def best_pieces(spark, sf_dir):
+    """The most likely cutting of every document in a fixed table of pieces: all characters, and the substrings of two to
+    four characters that occur a hundred times; scores are whole numbers, so that sums are exact and ties occur."""
+    words = stage(subword.word_counts(_document_texts(spark, sf_dir)), "words")
+    characters = words.select(F.explode(F.split("word", "")).alias("piece"), "n").where("piece <> ''")
+    characters = characters.groupBy("piece").agg(F.sum("n").alias("n"))
+    several = subword.frequent_pieces(words, 100, 4)
+    digits = F.length(F.col("n").cast("string"))
+    fixed = characters.union(several).select("piece", (4 * digits - 40 + F.pmod(F.col("n"), F.lit(5))).cast("double").alias("score"))
+    encode = subword.encoder(stage(fixed, "fixed"))
+    pieces = encode(F.col("text"))
+    return _document_texts(spark, sf_dir).select("doc_id", F.md5(F.array_join(pieces, " ")).alias("pieces"))
+
+
+EMBEDDING = EmbeddingConfig(vector_size=32)
+
+TRAINED_CTES = f"""{S.DOCS_CTE}, vocab AS (SELECT token, count(*) AS n FROM (SELECT unnest(tokens) AS token FROM docs) t
+  GROUP BY token HAVING count(*) >= 5)"""
+
+
+@query("a8_train_word_vectors", f"WITH {TRAINED_CTES} SELECT token, 100 AS size, true AS finite, true AS trained FROM vocab")
 def train_word_vectors(spark, sf_dir):
-    vectors = embedding.train_word_vectors(documents(spark, sf_dir), EmbeddingConfig(vector_size=16, epochs=1))
-    return vectors.select("token", F.round(M.norm(F.col("vector")), 3).alias("norm"))
+    """With the shipped settings every frequent token has a vector of 100 finite components that training has moved."""
+    vectors = embedding.train_word_vectors(documents(spark, sf_dir))
+    norm = M.norm(F.col("vector"))
+    finite = F.forall("vector", lambda x: ~F.isnan(x) & (F.abs(x) < 1e6))
+    # untrained components lie within half of 1 / size
+    return vectors.select("token", F.size("vector").alias("size"), finite.alias("finite"), (norm > 0.1).alias("trained"))
+
+
+@query("a8_trained_ngrams", f"""WITH {TRAINED_CTES}, grams AS (
+    SELECT DISTINCT substr(concat('<', token, '>'), i, n) AS ngram
+    FROM (SELECT token, unnest(range(1, length(token) + 3)) AS i FROM vocab) a, (SELECT unnest([3, 4, 5, 6]) AS n) b
+    WHERE i + n <= length(token) + 3)
+  SELECT ngram, 100 AS size FROM grams""")
+def trained_ngrams(spark, sf_dir):
+    """Every character n-gram of a frequent token has a vector of its own."""
+    grams = train_vectors(documents(spark, sf_dir))[1]
+    return grams.select("ngram", F.size("vector").alias("size"))
 
 
 # ------------------------------------------------------------------------------------------------ the whole job

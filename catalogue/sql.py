@@ -182,3 +182,22 @@ weights AS (SELECT id, tf.term, tf, doc_len,
   idf * ({K1} + 1.0) * tf / ({K1} * (1.0 - {B} + {B} * doc_len / avgdl) + tf) AS weight
   FROM tf JOIN terms ON tf.term = terms.term, tot)
 """
+
+#: Distinct words of the documents with their start mark, and how often each occurs.
+MARKED_CTE = f"""marked AS MATERIALIZED (SELECT concat('▁', w) AS word, count(*) AS n
+  FROM (SELECT unnest({words('text')}) AS w FROM documents) t GROUP BY w)"""
+
+SUBWORD_CTES = f"""{MARKED_CTE},
+  signs AS (SELECT piece, sum(n) AS n FROM (SELECT unnest(string_split(word, '')) AS piece, n FROM marked) t GROUP BY piece),
+  covered AS (SELECT piece FROM (SELECT piece, sum(n) OVER (ORDER BY n DESC, piece) - n AS before, sum(n) OVER () AS total
+    FROM signs) t WHERE before < total * 0.9995)"""
+
+FIXED_PIECES_CTES = f"""{MARKED_CTE},
+  counted AS (
+    SELECT piece, sum(n) AS n FROM (SELECT unnest(string_split(word, '')) AS piece, n FROM marked) t GROUP BY piece
+    UNION ALL
+    SELECT substr(word, i, size) AS piece, sum(n) AS n
+    FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM marked) a, (SELECT unnest([2, 3, 4]) AS size) b
+    WHERE i + size - 1 <= length(word) GROUP BY piece HAVING sum(n) >= 100),
+  fixed AS MATERIALIZED (
+    SELECT piece, CAST(4 * length(CAST(CAST(n AS BIGINT) AS VARCHAR)) - 40 + n % 5 AS BIGINT) AS score FROM counted)"""

@@ -76,8 +76,14 @@ class EmbeddingConfig:
     epochs: int = 6
     min_n: int = 3
     max_n: int = 6
-    partitions: int | None = None
-    """Tasks that train side by side; None takes the cluster's parallelism. One task gives repeatable vectors."""
+    negative: int = 15
+    rate: float = 0.2
+    buckets: int = 2_000_000
+    """Rows that character n-grams are hashed to; only those in use are held."""
+    shards: int = 64
+    """Parts of the corpus that are trained side by side at most; their changes are averaged after each epoch."""
+    shard_tokens: int = 100_000
+    """Tokens below which a corpus is not cut in more shards."""
     seed: int = 17
 
 
@@ -88,7 +94,10 @@ class NeighbourConfig:
     trees: int = 16
     leaf_size: int = 1024
     chunk_rows: int = 4096
-    sample_rows: int = 100_000
+    upper_levels: int = 16
+    """Levels whose split points are broadcast; deeper ones are joined."""
+    pivot_bytes: int = 64 * 1024 * 1024
+    """Size of the centres that steer the exact search."""
     seed: int = 29
     exact: bool = False
 
@@ -103,4 +112,4 @@ class LinkConfig:
     neighbours: NeighbourConfig = field(default_factory=NeighbourConfig)
     query_table: str = "table2"
     model_dir: str | None = None
-    """Folder of saved models: used if filled, else filled after training."""
+    """Folder of saved models: one fitted with these settings on such a corpus is used, else fitted and added."""

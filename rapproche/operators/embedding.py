@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import Word2Vec
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rapproche.config import EmbeddingConfig
 from rapproche.operators import bm25
+from rapproche.operators.ngrams import character_ngrams
 from rapproche.operators.skew import SkewLimits, fits_broadcast
+from rapproche.operators.skipgram import train_vectors
 
 
 def vocabulary(docs: DataFrame, min_count: int = 1) -> DataFrame:
@@ -32,50 +33,9 @@ def corpus_size(docs: DataFrame) -> DataFrame:
     return docs.agg(F.count("*").alias("corpus_count"), F.sum(F.size("tokens")).alias("corpus_total_words"))
 
 
-def fit_or_load(
-    spark: SparkSession, path: str | None, fit: Callable[[], DataFrame], schema: str | None = None
-) -> DataFrame:
-    """The table saved at ``path`` if there is one, else ``fit()``, saved there first when a path is given."""
-    if path is None:
-        return fit()
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not system.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")):
-        fit().write.mode("overwrite").parquet(path)
-    reader = spark.read.schema(schema) if schema else spark.read
-    return reader.parquet(path)
-
-
 def train_word_vectors(docs: DataFrame, config: EmbeddingConfig = EmbeddingConfig()) -> DataFrame:
-    """Skip-gram vectors of frequent tokens: (token, vector).
-
-    Training holds one vector per distinct token in each task, so it is meant for subword tokens.
-    """
-    spark = docs.sparkSession
-    if vocabulary(docs, config.min_count).isEmpty():
-        return spark.createDataFrame([], "token string, vector array<double>")
-    model = Word2Vec(
-        vectorSize=config.vector_size,
-        windowSize=config.window,
-        minCount=config.min_count,
-        maxIter=config.epochs,
-        numPartitions=config.partitions or spark.sparkContext.defaultParallelism,
-        seed=config.seed,
-        inputCol="tokens",
-        outputCol="_vector",
-    ).fit(docs.select("tokens"))
-    return model.getVectors().select(F.col("word").alias("token"), vector_to_array("vector").alias("vector"))
-
-
-def character_ngrams(token: Column, min_n: int = 3, max_n: int = 6) -> Column:
-    """Distinct substrings of min_n to max_n characters of the token in angle brackets."""
-    marked = F.concat(F.lit("<"), token, F.lit(">"))
-
-    def of_size(n: int) -> Column:
-        starts = F.when(F.length(marked) >= n, F.sequence(F.lit(1), F.greatest(F.length(marked) - n + 1, F.lit(1))))
-        return F.coalesce(F.transform(starts, lambda i: F.substring(marked, i, F.lit(n))), F.array().cast("array<string>"))
-
-    return F.array_distinct(F.concat(*[of_size(n) for n in range(min_n, max_n + 1)]))
+    """Vectors of frequent tokens, trained with their n-grams: (token, vector)."""
+    return train_vectors(docs, config)[0]
 
 
 def _mean(column: str) -> Column:
@@ -83,7 +43,7 @@ def _mean(column: str) -> Column:
 
 
 def ngram_vectors(word_vectors: DataFrame, config: EmbeddingConfig = EmbeddingConfig()) -> DataFrame:
-    """(ngram, vector): mean vector of the tokens that hold each character n-gram."""
+    """(ngram, vector): mean vector of the tokens that hold each character n-gram, for vectors trained without n-grams."""
     return (
         word_vectors.select(
             F.explode(character_ngrams(F.col("token"), config.min_n, config.max_n)).alias("ngram"),

@@ -1,9 +1,9 @@
 """Nearest reference vector of every query vector by cosine.
 
 Both sides are dealt to the leaves of several random-projection trees. A tree splits at the median of a random
-projection, so its leaves hold about equally many references however crowded the vectors are; its split points come
-from a bounded sample and the tree from a bounded table. Within a leaf the rows are cut in chunks, each pair of chunks
-is one matrix product that returns one best reference per query, and a group-by keeps the best over all leaves.
+projection of all references, so its leaves hold about equally many of them however crowded the vectors are. Within a
+leaf the rows are cut in chunks, each pair of chunks is one matrix product that returns one best reference per query, and
+a group-by keeps the best over all leaves.
 """
 
 from __future__ import annotations
@@ -12,16 +12,17 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rapproche.config import NeighbourConfig
 from rapproche.functions.similarity import norm
+from rapproche.operators.skew import SkewLimits, lookup_join
 from rapproche.session import stage
 
-MAX_DEPTH = 16
+#: Bytes that a row of the chunk counts takes when broadcast.
+CHUNK_BYTES = 48
 
 _BEST_SCHEMA = "query_id long, reference_id long, model_score double"
 
@@ -44,55 +45,117 @@ def distinct_references(references: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Trees:
-    """``directions[tree, level]`` and, per tree, the split points of its inner nodes in level order."""
+    """Random-projection trees: the upper levels' split points by tree in level order, those of deeper levels as tables.
 
-    directions: np.ndarray
-    splits: np.ndarray
+    Every level of a tree has one direction, which follows from the seed. ``deeper`` holds (tree, node, split) per level
+    beyond the upper ones.
+    """
+
+    count: int
+    size: int
+    seed: int
+    upper: np.ndarray
+    deeper: tuple[DataFrame, ...] = ()
 
     @property
-    def count(self) -> int:
-        return self.directions.shape[0]
-
-    def leaves(self, vectors: np.ndarray) -> np.ndarray:
-        """Leaf number of each vector in each tree."""
-        trees, depth, _ = self.directions.shape
-        result = np.zeros((len(vectors), trees), dtype=np.int64)
-        for tree in range(trees):
-            node = np.zeros(len(vectors), dtype=np.int64)
-            for level in range(depth):
-                above = vectors @ self.directions[tree, level] > self.splits[tree, node]
-                node = 2 * node + 1 + above
-            result[:, tree] = node - ((1 << depth) - 1)
-        return result
-
-
-def _sample(references: DataFrame, rows: int, n: int, seed: int) -> np.ndarray:
-    """About ``rows`` reference vectors, chosen by a hash of their id so that reruns choose the same."""
-    picked = references
-    if n > rows:
-        picked = references.where(F.pmod(F.xxhash64("reference_id", F.lit(seed)), F.lit(n)) < rows)
-    vectors = picked.orderBy("reference_id").limit(2 * rows).select("vector").toPandas()["vector"]
-    return np.array(vectors.tolist(), dtype=np.float64)
+    def depth(self) -> int:
+        return int(np.log2(self.upper.shape[1] + 1)) + len(self.deeper)
+
+    def direction(self, tree: int, level: int) -> np.ndarray:
+        return direction(self.seed, tree, level, self.size)
+
+
+def direction(seed: int, tree: int, level: int, size: int) -> np.ndarray:
+    return np.random.default_rng([seed, tree, level]).standard_normal(size)
+
+
+def _descend(vectors: np.ndarray, upper: np.ndarray, seed: int) -> np.ndarray:
+    """Node of each vector in each tree below the levels of ``upper``, numbered within its level."""
+    trees, points = upper.shape
+    levels = int(np.log2(points + 1))
+    result = np.zeros((len(vectors), trees), dtype=np.int64)
+    for tree in range(trees):
+        node = result[:, tree]
+        for level in range(levels):
+            above = vectors @ direction(seed, tree, level, vectors.shape[1]) > upper[tree, (1 << level) - 1 + node]
+            node *= 2
+            node += above
+    return result
+
+
+def _medians(values: DataFrame) -> DataFrame:
+    """The median of all values of each (tree, node)."""
+    return values.groupBy("tree", "node").agg(F.percentile_approx("value", 0.5, 10_000).alias("split"))
+
+
+def _upper_values(rows: DataFrame, upper: np.ndarray, seed: int) -> DataFrame:
+    """(tree, node, value): where each row stands in every tree, and its projection on that level's direction."""
+    shared = rows.sparkSession.sparkContext.broadcast(upper)
+
+    def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        above = shared.value
+        trees, level = above.shape[0], int(np.log2(above.shape[1] + 1))
+        for batch in batches:
+            if batch.num_rows:
+                vectors = _matrix(batch["vector"])
+                nodes = _descend(vectors, above, seed)
+                at = np.stack([direction(seed, t, level, vectors.shape[1]) for t in range(trees)])
+                columns = (np.tile(np.arange(trees, dtype=np.int32), len(vectors)), nodes.reshape(-1), (vectors @ at.T).reshape(-1))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["tree", "node", "value"])
+
+    return rows.select("vector").mapInArrow(project, "tree int, node long, value double")
+
+
+def _with_values(placed: DataFrame, id_name: str, level: int, seed: int) -> DataFrame:
+    """``placed`` (id, vector, tree, node) with the projection of each row on its tree's direction at ``level``."""
+
+    def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                vectors, trees = _matrix(batch["vector"]), batch["tree"].to_numpy()
+                value = np.zeros(len(vectors))
+                for tree in np.unique(trees):
+                    own = trees == tree
+                    value[own] = vectors[own] @ direction(seed, int(tree), level, vectors.shape[1])
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(value)], [*batch.schema.names, "value"])
+
+    rows = placed.select(id_name, "vector", "tree", "node")
+    return rows.mapInArrow(project, f"{id_name} long, vector array<double>, tree int, node long, value double")
+
+
+def _one_level_down(valued: DataFrame, id_name: str, splits: DataFrame) -> DataFrame:
+    points = splits.select(F.col("tree").alias("_tree"), F.col("node").alias("_node"), "split")
+    # a node that no reference reached has no split point, and nothing below it either
+    joined = valued.join(points, (F.col("tree") == F.col("_tree")) & (F.col("node") == F.col("_node")))
+    below = 2 * F.col("node") + (F.col("value") > F.col("split")).cast("long")
+    return joined.select(id_name, "vector", "tree", below.alias("node"))
 
 
 def grow_trees(references: DataFrame, config: NeighbourConfig, n: int | None = None) -> Trees:
-    """Trees deep enough for leaves of about ``leaf_size`` references."""
+    """Trees deep enough for leaves of about ``leaf_size`` references, split at the medians of all of them.
+
+    Levels grow one by one. Split points of the upper levels are few enough to broadcast; where the references ask for
+    more levels, rows are joined with their node's split point instead.
+    """
     n = references.count() if n is None else n
-    depth = min(MAX_DEPTH, max(0, int(np.ceil(np.log2(max(n, 1) / config.leaf_size)))))
-    if depth == 0:
-        return Trees(np.zeros((1, 0, 1)), np.zeros((1, 0)))
-    sample = _sample(references, config.sample_rows, n, config.seed)
-    random = np.random.default_rng(config.seed)
-    directions = random.standard_normal((config.trees, depth, sample.shape[1]))
-    splits = np.zeros((config.trees, (1 << depth) - 1))
-    for tree in range(config.trees):
-        node = np.zeros(len(sample), dtype=np.int64)
-        for level in range(depth):
-            projected = sample @ directions[tree, level]
-            medians = pd.Series(projected).groupby(node).median()
-            splits[tree, medians.index.to_numpy()] = medians.to_numpy()
-            node = 2 * node + 1 + (projected > splits[tree, node])
-    return Trees(directions, splits)
+    depth = max(0, int(np.ceil(np.log2(max(n, 1) / config.leaf_size))))
+    count = config.trees if depth else 1  # one leaf holds all, in every tree alike
+    size = references.select(F.size("vector")).first()[0] if depth else 1
+    upper = np.zeros((count, 0))
+    for level in range(min(depth, config.upper_levels)):
+        points = np.zeros((count, 1 << level))
+        for row in _medians(_upper_values(references, upper, config.seed)).collect():  # a row per node of the level
+            points[row["tree"], row["node"]] = row["split"]
+        upper = np.concatenate([upper, points], axis=1)
+    trees = Trees(count, size, config.seed, upper)
+    if depth <= config.upper_levels:
+        return trees
+    placed, splits = _in_upper(references, "reference_id", trees), []
+    for level in range(config.upper_levels, depth):
+        valued = stage(_with_values(placed, "reference_id", level, config.seed), "placed")
+        splits.append(stage(_medians(valued), "splits"))
+        placed = _one_level_down(valued, "reference_id", splits[-1])
+    return Trees(count, size, config.seed, upper, tuple(splits))
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -109,42 +172,51 @@ def _lists(rows: np.ndarray, counts: np.ndarray | None = None) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(rows.reshape(-1), pa.int64()))
 
 
-def deal_to_leaves(rows: DataFrame, id_name: str, trees: Trees) -> DataFrame:
-    """(id, vector, cell): one row per tree, ``cell`` naming tree and leaf."""
-    shared = rows.sparkSession.sparkContext.broadcast((trees.directions, trees.splits))
+def _in_upper(rows: DataFrame, id_name: str, trees: Trees) -> DataFrame:
+    """(id, vector, tree, node): one row per tree, placed by the upper levels."""
+    shared, seed = rows.sparkSession.sparkContext.broadcast(trees.upper), trees.seed
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        forest = Trees(*shared.value)
+        upper = shared.value
         for batch in batches:
             if batch.num_rows:
-                cells = forest.leaves(_matrix(batch["vector"])) + (np.arange(forest.count) << MAX_DEPTH)[None, :]
-                yield pa.RecordBatch.from_arrays(
-                    [batch[id_name], batch["vector"], _lists(cells)], [id_name, "vector", "cells"]
-                )
+                nodes = _lists(_descend(_matrix(batch["vector"]), upper, seed))
+                yield pa.RecordBatch.from_arrays([batch[id_name], batch["vector"], nodes], [id_name, "vector", "nodes"])
 
     return (
         rows.select(id_name, "vector")
-        .mapInArrow(deal, f"{id_name} long, vector array<double>, cells array<long>")
-        .select(id_name, "vector", F.explode("cells").alias("cell"))
+        .mapInArrow(deal, f"{id_name} long, vector array<double>, nodes array<long>")
+        .select(id_name, "vector", F.posexplode("nodes").alias("tree", "node"))
     )
 
 
+def deal_to_leaves(rows: DataFrame, id_name: str, trees: Trees) -> DataFrame:
+    """(id, vector, cell): one row per tree, ``cell`` naming tree and leaf."""
+    placed = _in_upper(rows, id_name, trees)
+    for level, splits in enumerate(trees.deeper, trees.depth - len(trees.deeper)):
+        placed = _one_level_down(_with_values(placed, id_name, level, trees.seed), id_name, splits)
+    leaf = F.col("tree").cast("long") * F.lit(1 << min(trees.depth, 48)) + F.col("node")
+    return placed.select(id_name, "vector", leaf.alias("cell"))
+
+
 def _chunk_counts(rows: DataFrame, name: str, chunk_rows: int) -> DataFrame:
-    """Chunks each cell needs; cells are bounded in number by the trees, and so is this table."""
+    """Chunks each cell needs."""
     return rows.groupBy("cell").agg(F.ceil(F.count("*") / chunk_rows).cast("int").alias(name))
 
 
-def best_in_cells(queries: DataFrame, references: DataFrame, chunk_rows: int) -> DataFrame:
+def best_in_cells(
+    queries: DataFrame, references: DataFrame, chunk_rows: int, limits: SkewLimits = SkewLimits()
+) -> DataFrame:
     """Best reference of each query among those that share a cell with it: (query_id, reference_id, model_score).
 
     Each pair of chunks is one group of at most about ``chunk_rows`` rows a side, so a crowded cell becomes many groups.
-    Ties go to the smallest reference id.
+    Ties go to the smallest reference id. The chunk counts, a row per cell, are broadcast if their number allows.
     """
-    chunks = _chunk_counts(queries, "_nq", chunk_rows).join(_chunk_counts(references, "_nr", chunk_rows), "cell")
-    chunks = F.broadcast(chunks)
+    counts = _chunk_counts(queries, "_nq", chunk_rows).join(_chunk_counts(references, "_nr", chunk_rows), "cell")
+    chunks = stage(counts.withColumnRenamed("cell", "_cell"), "chunks")
 
     def dealt(rows: DataFrame, id_name: str, own: str, other: str, own_chunk: str, other_chunk: str) -> DataFrame:
-        return rows.join(chunks, "cell").select(
+        return lookup_join(rows, chunks, "cell", "_cell", CHUNK_BYTES, limits=limits).select(
             id_name,
             "vector",
             "cell",
@@ -202,27 +274,89 @@ def nearest(
     found = best_in_cells(
         deal_to_leaves(q, "query_id", trees), deal_to_leaves(r, "reference_id", trees), config.chunk_rows
     )
-    if config.exact and trees.directions.shape[1]:
+    if config.exact and trees.depth:
         found = _exact(q, r, stage(found, "nearby"), config, n, threshold)
     return found if threshold is None else above(found, threshold)
 
 
-def _nearest_pivot(rows: DataFrame, centres: np.ndarray) -> DataFrame:
-    """(reference_id, vector, cell, angle) with the closest centre of each reference."""
-    shared = rows.sparkSession.sparkContext.broadcast(centres)
+@dataclass(frozen=True)
+class Pivots:
+    """Centres on two levels: groups, and cells that belong to a group each (ordered by group, from ``first[g]`` on)."""
+
+    groups: np.ndarray
+    cells: np.ndarray
+    first: np.ndarray
+
+
+def _chosen(references: DataFrame, count: int, seed: int) -> np.ndarray:
+    """``count`` reference vectors, chosen by a hash of their id."""
+    order = references.select("vector", F.xxhash64("reference_id", F.lit(seed)).alias("_order"), "reference_id")
+    rows = order.orderBy("_order", "reference_id").limit(count).toArrow()
+    return _matrix(rows["vector"])
+
+
+def choose_pivots(references: DataFrame, n: int, config: NeighbourConfig) -> Pivots:
+    """About the fourth root of ``n`` groups and the square root of ``n`` cells, so that either level costs alike.
+
+    ``pivot_bytes`` bounds what every task holds: 64 MB are cells for 6 thousand million references of 100 components.
+    """
+    size = references.select(F.size("vector")).first()[0]
+    most = max(1, config.pivot_bytes // (8 * size))
+    cells = min(most, int(np.ceil(np.sqrt(n))))
+    chosen = _chosen(references, cells, config.seed + 1)
+    groups = chosen[: int(np.ceil(np.sqrt(len(chosen))))]
+    owner = (chosen @ groups.T).argmax(axis=1)
+    order = np.argsort(owner, kind="stable")
+    first = np.searchsorted(owner[order], np.arange(len(groups) + 1))
+    return Pivots(groups, chosen[order], first)
+
+
+def _angles(scores: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(scores, -1, 1))
+
+
+def _nearest_pivot(rows: DataFrame, pivots: Pivots) -> DataFrame:
+    """(reference_id, vector, cell, angle, group, group_angle): each reference's closest group, and its closest cell there."""
+    shared = rows.sparkSession.sparkContext.broadcast(pivots)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = shared.value
         for batch in batches:
             if batch.num_rows:
-                scores = _matrix(batch["vector"]) @ shared.value.T
-                cell = scores.argmax(axis=1)
-                angle = np.arccos(np.clip(scores[np.arange(len(cell)), cell], -1, 1))
-                yield pa.RecordBatch.from_arrays(
-                    [batch["reference_id"], batch["vector"], pa.array(cell, pa.int64()), pa.array(angle)],
-                    ["reference_id", "vector", "cell", "angle"],
-                )
-
-    return rows.mapInArrow(assign, "reference_id long, vector array<double>, cell long, angle double")
+                vectors = _matrix(batch["vector"])
+                scores = vectors @ held.groups.T
+                group = scores.argmax(axis=1)
+                wide = _angles(scores[np.arange(len(group)), group])
+                cell, angle = np.zeros(len(group), np.int64), np.zeros(len(group))
+                for g in np.unique(group):
+                    own, (low, high) = group == g, held.first[g : g + 2]
+                    near = vectors[own] @ held.cells[low:high].T
+                    at = near.argmax(axis=1)
+                    cell[own], angle[own] = low + at, _angles(near[np.arange(len(at)), at])
+                columns = [batch["reference_id"], batch["vector"], *map(pa.array, (cell, angle, group, wide))]
+                yield pa.RecordBatch.from_arrays(columns, ["reference_id", "vector", "cell", "angle", "group", "group_angle"])
+
+    schema = "reference_id long, vector array<double>, cell long, angle double, group long, group_angle double"
+    return rows.mapInArrow(assign, schema)
+
+
+def _ranges(placed: DataFrame, key: str, angle: str, count: int) -> np.ndarray:
+    """Smallest and largest angle between a centre and what belongs to it; empty centres get an empty range."""
+    out = np.array([[np.inf, -np.inf]] * count)
+    found = placed.groupBy(key).agg(F.min(angle).alias("low"), F.max(angle).alias("high")).toPandas()
+    out[found[key].to_numpy(np.int64)] = found[["low", "high"]].to_numpy()
+    return out
+
+
+def _reachable(vectors: np.ndarray, centres: np.ndarray, ranges: np.ndarray, best: np.ndarray) -> np.ndarray:
+    """Whether a centre's range of angles leaves room for a reference at least as close as ``best``.
+
+    By the triangle inequality for angles nothing of a centre is closer to a query than the query's angle to the centre
+    lies outside the range.
+    """
+    angle = _angles(vectors @ centres.T)
+    outside = np.maximum(np.maximum(ranges[:, 0] - angle, angle - ranges[:, 1]), 0.0)
+    return np.cos(np.minimum(outside, np.pi)) >= best[:, None] - 1e-9
 
 
 def _exact(
@@ -230,18 +364,14 @@ def _exact(
 ) -> DataFrame:
     """The true nearest, given good candidates.
 
-    References are grouped by their closest of a bounded number of centres. By the triangle inequality for angles, no
-    reference of a cell is closer to a query than the query's angle to the centre lies outside the cell's range of
-    angles; cells that cannot reach the query's best so far are skipped, all others are searched in full.
+    Groups, and then the cells of the groups left, are skipped where they cannot reach the query's best so far; the
+    references of all other cells are searched in full.
     """
-    cells = int(min(1024, max(1, n // config.leaf_size)))
-    centres = _sample(references, cells, n, config.seed + 1)
-    placed = _nearest_pivot(references, centres)
-    ranges = placed.groupBy("cell").agg(F.min("angle").alias("low"), F.max("angle").alias("high")).toPandas()
-    index = ranges["cell"].to_numpy(dtype=np.int64)
-    shared = queries.sparkSession.sparkContext.broadcast(
-        (index, centres[index], ranges["low"].to_numpy(), ranges["high"].to_numpy())
-    )
+    pivots = choose_pivots(references, n, config)
+    placed = stage(_nearest_pivot(references, pivots), "placed")
+    group_ranges = _ranges(placed, "group", "group_angle", len(pivots.groups))
+    cell_ranges = _ranges(placed, "cell", "angle", len(pivots.cells))
+    shared = queries.sparkSession.sparkContext.broadcast((pivots, group_ranges, cell_ranges))
     floor = -2.0 if threshold is None else threshold
     best_so_far = F.greatest(F.coalesce(F.col("model_score"), F.lit(-2.0)), F.lit(floor))
     bounded = queries.join(found.select("query_id", "model_score"), "query_id", "left").select(
@@ -249,13 +379,19 @@ def _exact(
     )
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, midpoints, low, high = shared.value
+        held, wide, narrow = shared.value
         for batch in batches:
             if batch.num_rows:
-                angle = np.arccos(np.clip(_matrix(batch["vector"]) @ midpoints.T, -1, 1))
-                outside = np.maximum(np.maximum(low[None, :] - angle, angle - high[None, :]), 0.0)
-                reachable = np.cos(outside) >= batch["best"].to_numpy()[:, None] - 1e-9
-                cells = _lists(numbers[np.nonzero(reachable)[1]], reachable.sum(axis=1))
+                vectors, best = _matrix(batch["vector"]), batch["best"].to_numpy()
+                open_groups = _reachable(vectors, held.groups, wide, best)
+                hits = []
+                for g in np.flatnonzero(open_groups.any(axis=0)):
+                    own, (low, high) = np.flatnonzero(open_groups[:, g]), held.first[g : g + 2]
+                    near = np.nonzero(_reachable(vectors[own], held.cells[low:high], narrow[low:high], best[own]))
+                    hits.append(np.stack([own[near[0]], low + near[1]]))
+                row, cell = np.concatenate(hits, axis=1) if hits else np.zeros((2, 0), np.int64)
+                order = np.argsort(row, kind="stable")
+                cells = _lists(cell[order], np.bincount(row, minlength=len(best)))
                 yield pa.RecordBatch.from_arrays(
                     [batch["query_id"], batch["vector"], cells], ["query_id", "vector", "cells"]
                 )
@@ -265,5 +401,3 @@ def _exact(
     )
     searched = best_in_cells(visits, placed.select("reference_id", "vector", "cell"), config.chunk_rows)
     return top_match(found.unionByName(searched))
-
-

@@ -1,25 +1,34 @@
 """A unigram subword vocabulary, trained and applied with Spark.
 
-Words are counted once; each training round then segments the distinct words in parallel and adds up expected piece
-counts by a shuffle. Only the piece table, whose size is set by the configuration, visits the driver and is broadcast.
+Words are counted once; each training step then weighs all cuttings of the distinct words in parallel and adds up expected
+piece counts by a shuffle. Only the piece table, whose size the configuration bounds, visits the driver and is broadcast.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
+from functools import reduce
+from itertools import chain
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from rapproche.config import SubwordConfig
+from rapproche.operators.lattice import Lattice, Trie
 from rapproche.session import stage
 
 WORD_START = "▁"
 MIN_EXPECTED = 0.5
+#: Occurrences of a substring that make it a seed.
+MIN_COUNT = 2
+#: Words that a task keeps with their pieces.
+STORE = 200_000
 
 PIECE_SCHEMA = T.StructType([T.StructField("piece", T.StringType()), T.StructField("score", T.DoubleType())])
 
@@ -53,200 +62,165 @@ def covered_characters(words: DataFrame, coverage: float) -> DataFrame:
     return counts.withColumn("_before", before).where(F.col("_before") < total * coverage).select("piece", "n")
 
 
-def seed_pieces(words: DataFrame, config: SubwordConfig) -> DataFrame:
-    """Frequent substrings of two or more characters, the best ``seed_size`` by count times length: (piece, n)."""
-    length = F.length("word")
-    # a row holds no more of a word than the longest piece, however long the word is
-    tail = F.col("word").substr(F.col("start"), F.lit(config.max_piece_length))
-    sizes = F.sequence(F.lit(2), F.length("tail"))
-    return (
-        words.where(length >= 2)
-        .select("word", F.explode(F.sequence(F.lit(1), length - 1)).alias("start"), "n")
-        .select(tail.alias("tail"), "n")
-        .select(F.explode(F.transform(sizes, lambda size: F.substring(F.col("tail"), F.lit(1), size))).alias("piece"), "n")
-        .groupBy("piece")
-        .agg(F.sum("n").alias("n"))
-        .where("n >= 2")
-        .orderBy(F.desc(F.col("n") * F.length("piece")), "piece")
-        .limit(config.seed_size)
-    )
+def _levels(longest: int) -> list[tuple[int, int]]:
+    """Ranges of piece sizes that are counted together: 2 to 3, 4 to 7, and so on."""
+    first, out = 2, []
+    while first <= longest:
+        out.append((first, min(2 * first - 1, longest)))
+        first *= 2
+    return out
 
 
-def _arcs(word: str, scores: dict, longest: int) -> list[tuple[int, int, str | None, float]]:
-    """All pieces in the word as (start, end, piece, score), by start.
+def frequent_pieces(words: DataFrame, least: int, longest: int) -> DataFrame:
+    """All substrings of 2 to ``longest`` characters that occur ``least`` times at least: (piece, n).
 
-    A character without a piece of its own is an arc of its own, scored below every piece.
+    Sizes are counted in levels. A substring can be frequent only if its own substrings are; so a place is carried on to
+    the next level only where every substring of the last level's size is frequent. Words that are frequent themselves
+    need no such check. A row holds no more of a word than the longest piece, however long the word is.
     """
-    floor, size, result = scores[None], len(word), []
-    for start in range(size):
-        for end in range(start + 1, min(size, start + longest) + 1):
-            piece = word[start:end]
-            score = scores.get(piece)
-            if score is not None:
-                result.append((start, end, piece, score))
-            elif end == start + 1:
-                result.append((start, end, None, floor))
-    return result
-
-
-def expected_counts(word: str, scores: dict, longest: int) -> tuple[float, list[tuple[str, float]]]:
-    """Log likelihood of the word, and each piece's expected number of uses over all segmentations.
-
-    Every position is weighed relative to the mass that reaches it, so long words neither vanish nor overflow.
+    length = F.length("word")
+    mark = [F.xxhash64("word").alias("w1"), F.xxhash64("word", F.lit(1)).alias("w2")]
+    starts = words.where(length >= 2).select("word", "n", F.explode(F.sequence(F.lit(1), length - 1)).alias("start"))
+    tail = F.col("word").substr(F.col("start"), F.lit(longest))
+    places = starts.select(*mark, "n", "start", tail.alias("tail"), F.length(tail).alias("reach"))
+    levels, found = _levels(longest), []
+    for number, (low, high) in enumerate(levels):
+        sizes = F.sequence(F.lit(low), F.least(F.col("reach"), F.lit(high)))
+        pieces = F.explode(F.transform(sizes, lambda size: F.substring(F.col("tail"), F.lit(1), size))).alias("piece")
+        counted = places.where(F.col("reach") >= low).select(pieces, "n").groupBy("piece").agg(F.sum("n").alias("n"))
+        found.append(stage(counted.where(F.col("n") >= least), "pieces"))
+        if number + 1 == len(levels):
+            break
+        going = places.where(F.col("reach") > high)
+        rare = places.where((F.col("n") < least) & (F.col("reach") >= high)).withColumn("head", F.substring("tail", 1, high))
+        last = found[-1].where(F.length("piece") == high).select(F.col("piece").alias("_piece"))
+        held = rare.join(last, F.col("head") == F.col("_piece"), "left_semi")
+        # neighbouring places that are all frequent form a run, which bounds how far a substring may reach
+        order = Window.partitionBy("w1", "w2").orderBy("start")
+        run = held.withColumn("run", F.col("start") - F.row_number().over(order))
+        end = F.max("start").over(Window.partitionBy("w1", "w2", "run"))
+        reach = F.least(F.col("reach"), (end - F.col("start") + high).cast("int"))
+        left = run.withColumn("reach", reach).where(F.col("reach") > high)
+        places = going.where(F.col("n") >= least).unionByName(left.select(*going.columns))
+        places = stage(places, "places")
+    return reduce(DataFrame.union, found) if found else words.select(F.col("word").alias("piece"), "n").where("false")
+
+
+def seed_pieces(words: DataFrame, config: SubwordConfig) -> DataFrame:
+    """Substrings of two or more characters that occur twice at least, the best ``seed_size`` by count times length.
+
+    ``seed_size`` bounds what training holds; a corpus with fewer frequent substrings starts with all of them.
     """
-    arcs = _arcs(word, scores, longest)
-    size = len(word)
-    top = [-math.inf] * (size + 1)
-    top[0] = 0.0
-    for start, end, _, score in arcs:
-        if top[start] + score > top[end]:
-            top[end] = top[start] + score
-    forward, backward = [0.0] * (size + 1), [0.0] * (size + 1)
-    forward[0] = backward[size] = 1.0
-    weights = [math.exp(top[start] + score - top[end]) for start, end, _, score in arcs]
-    for (start, end, _, _), weight in zip(arcs, weights):
-        forward[end] += forward[start] * weight
-    for (start, end, _, _), weight in zip(reversed(arcs), reversed(weights)):
-        backward[start] += backward[end] * weight
-    total = forward[size]
-    if not math.isfinite(total):  # beyond about a thousand characters: count the best segmentation alone
-        score, pieces = best_segmentation(word, scores, longest)
-        return score, [(piece, 1.0) for piece in pieces if piece in scores]
-    uses = [
-        (piece, forward[start] * weight * backward[end] / total)
-        for (start, end, piece, _), weight in zip(arcs, weights)
-        if piece is not None
-    ]
-    return top[size] + math.log(total), uses
-
-
-def best_segmentation(word: str, scores: dict, longest: int, without: str | None = None) -> tuple[float, list[str]]:
-    """Most likely pieces of the word; ``without`` bars one piece. Runs of unknown characters stay together."""
-    best = [(0.0, 0, None)] + [(-math.inf, 0, None)] * len(word)
-    for start, end, piece, score in _arcs(word, scores, longest):
-        if (piece is None or piece != without) and best[start][0] + score > best[end][0]:
-            best[end] = (best[start][0] + score, start, piece)
-    pieces, end = [], len(word)
-    while end > 0:
-        _, start, piece = best[end]
-        if piece is None and pieces and pieces[-1][1] is None:
-            pieces[-1] = (word[start:end] + pieces[-1][0], None)
-        else:
-            pieces.append((word[start:end], piece))
-        end = start
-    return best[len(word)][0], [text for text, _ in reversed(pieces)]
-
-
-def _with_floor(scores: dict) -> dict:
-    """Scores plus, under None, that of an unknown character."""
-    return {**scores, None: min(scores.values(), default=0.0) - 10.0}
-
-
-def _expectation(words: DataFrame, scores: dict, longest: int) -> dict:
-    """Expected uses of every piece over all words; at most as many rows as there are pieces come back."""
-    shared = words.sparkSession.sparkContext.broadcast(_with_floor(scores))
-
-    def count_uses(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = shared.value
+    found = frequent_pieces(words, MIN_COUNT, config.max_piece_length)
+    return found.orderBy(F.desc(F.col("n") * F.length("piece")), "piece").limit(config.seed_size)
+
+
+def _expected_uses(words: DataFrame, trie: Broadcast, scores: np.ndarray) -> np.ndarray:
+    """Expected uses of every piece over all words; each task adds up its own words first."""
+    shared = words.sparkSession.sparkContext.broadcast(scores)
+
+    def count_uses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lattice = Lattice(trie.value, shared.value)
+        total = np.zeros(len(shared.value))
         for batch in batches:
-            sums: dict[str, float] = {}
-            for word, n in zip(batch["word"], batch["n"]):
-                for piece, use in expected_counts(word, known, longest)[1]:
-                    sums[piece] = sums.get(piece, 0.0) + use * n
-            yield pd.DataFrame({"piece": list(sums.keys()), "uses": list(sums.values())})
-
-    rows = (
-        words.mapInPandas(count_uses, "piece string, uses double")
-        .groupBy("piece")
-        .agg(F.sum("uses").alias("uses"))
-        .collect()
-    )
-    return {row["piece"]: row["uses"] for row in rows}
+            n = batch["n"].to_numpy().astype(np.float64)
+            total += lattice.expected(batch["word"].to_pylist(), n)[1]
+        used = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["piece", "uses"])
 
+    sums = words.mapInArrow(count_uses, "piece long, uses double").groupBy("piece").agg(F.sum("uses").alias("uses"))
+    found, uses = sums.toArrow(), np.zeros(len(scores))  # a row per piece at most
+    uses[found["piece"].to_numpy()] = found["uses"].to_numpy()
+    shared.unpersist()
+    return uses
 
-def _maximise(uses: dict, required: set) -> dict:
+
+def _maximised(uses: np.ndarray, required: np.ndarray) -> np.ndarray:
     """New log probabilities; pieces that are hardly used go, single characters stay."""
-    kept = {p: max(uses.get(p, 0.0), MIN_EXPECTED) for p in required}
-    kept.update({p: u for p, u in uses.items() if u >= MIN_EXPECTED and p not in required})
-    total = math.log(sum(kept.values()))
-    return {piece: math.log(value) - total for piece, value in sorted(kept.items())}
+    kept = np.where(required, np.maximum(uses, MIN_EXPECTED), np.where(uses >= MIN_EXPECTED, uses, 0.0))
+    with np.errstate(divide="ignore"):
+        return np.log(kept) - np.log(kept.sum())
 
 
-def _losses(spark: SparkSession, scores: dict, uses: dict, longest: int, required: set, keep: int) -> list[str]:
-    """The ``keep`` pieces whose removal would cost the most likelihood, worked out piece by piece in parallel."""
-    shared = spark.sparkContext.broadcast(_with_floor(scores))
+def _losses(pieces: DataFrame, trie: Broadcast, scores: np.ndarray, uses: np.ndarray) -> np.ndarray:
+    """The likelihood that removing each piece would cost, worked out in parallel."""
+    shared = pieces.sparkSession.sparkContext.broadcast((scores, uses))
 
-    def cost(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = shared.value
+    def cost(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, n = shared.value
+        lattice = Lattice(trie.value, known)
         for batch in batches:
-            alternatives = [best_segmentation(p, known, longest, without=p)[0] for p in batch["piece"]]
-            own = [known[p] for p in batch["piece"]]
-            loss = [n * (a - b) for n, a, b in zip(batch["uses"], own, alternatives)]
-            yield pd.DataFrame({"piece": batch["piece"], "loss": loss})
-
-    candidates = pd.DataFrame(
-        [(p, uses.get(p, 0.0)) for p in scores if p not in required], columns=["piece", "uses"]
-    ).astype({"piece": object, "uses": "float64"})
-    frame = spark.createDataFrame(candidates, "piece string, uses double").repartition(
-        spark.sparkContext.defaultParallelism
-    )
-    best = frame.mapInPandas(cost, "piece string, loss double").orderBy(F.desc("loss"), "piece").limit(keep)
-    return [row["piece"] for row in best.collect()]
+            place = batch["place"].to_numpy()
+            batch = batch.filter(pa.array(np.isfinite(known[place])))
+            place = batch["place"].to_numpy()
+            other = lattice.best(batch["piece"].to_pylist(), whole=False)[0]
+            yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(n[place] * (known[place] - other))], ["place", "loss"])
+
+    found, losses = pieces.mapInArrow(cost, "place long, loss double").toArrow(), np.full(len(scores), -np.inf)
+    losses[found["place"].to_numpy()] = found["loss"].to_numpy()
+    shared.unpersist()
+    return losses
 
 
 def train_subwords(corpus: DataFrame, config: SubwordConfig = SubwordConfig()) -> DataFrame:
     """Train a vocabulary of at most ``vocab_size`` pieces on the ``text`` column: (piece, score).
 
     Expectation and maximisation alternate; between rounds the table shrinks by dropping the pieces least missed. All
-    covered characters stay pieces.
+    covered characters stay pieces. The tasks get all pieces once, as a trie, and new scores in every step.
     """
     spark = corpus.sparkSession
     # Few bytes but much work per row: as many parts as there are cores, not as few as the bytes would fill.
     words = stage(word_counts(corpus).repartition(spark.sparkContext.defaultParallelism), "words")
-    required_rows = covered_characters(words, config.character_coverage).collect()
-    required = {row["piece"] for row in required_rows}
-    counts = {row["piece"]: float(row["n"]) for row in required_rows}
-    counts.update({row["piece"]: float(row["n"]) for row in seed_pieces(words, config).collect()})
-    if not counts:
+    characters = covered_characters(words, config.character_coverage).withColumn("required", F.lit(True))
+    seeds = characters.unionByName(seed_pieces(words, config).withColumn("required", F.lit(False)))
+    # at most seed_size pieces and the characters, whose places name them from here on
+    table = stage(seeds, "seeds").orderBy("piece").toArrow()
+    pieces, required = table["piece"].to_pylist(), table["required"].to_numpy()
+    if not pieces:
         return spark.createDataFrame([], PIECE_SCHEMA)
-    total = math.log(sum(counts.values()))
-    scores = {piece: math.log(n) - total for piece, n in sorted(counts.items())}
-    longest = config.max_piece_length
-    target = max(config.vocab_size, len(required))
+    places = pa.table({"place": np.arange(len(pieces)), "piece": table["piece"]})
+    rows = stage(spark.createDataFrame(places).repartition(spark.sparkContext.defaultParallelism), "piece-places")
+    trie = spark.sparkContext.broadcast(Trie.of(pieces))
+    scores = _maximised(table["n"].to_numpy().astype(np.float64), required)
+    target = max(config.vocab_size, int(required.sum()))
     while True:
         for _ in range(config.em_steps):
-            uses = _expectation(words, scores, longest)
-            scores = _maximise(uses, required)
-        if len(scores) <= target:
+            uses = _expected_uses(words, trie, scores)
+            scores = _maximised(uses, required)
+        left = int(np.isfinite(scores).sum())
+        if left <= target:
             break
-        keep = max(target, int(len(scores) * config.shrink)) - len(required)
-        kept = set(_losses(spark, scores, uses, longest, required, keep)) | required
-        scores = {piece: score for piece, score in scores.items() if piece in kept}
-    return spark.createDataFrame(sorted(scores.items()), PIECE_SCHEMA)
+        keep = max(target, int(left * config.shrink)) - int(required.sum())
+        losses = np.where(required, -np.inf, _losses(rows, trie, scores, uses))
+        kept = np.lexsort((np.arange(len(losses)), -losses))[:keep]
+        dropped = ~required
+        dropped[kept] = False
+        scores[dropped] = -np.inf
+    kept = np.flatnonzero(np.isfinite(scores))
+    return spark.createDataFrame([(pieces[i], float(scores[i])) for i in kept], PIECE_SCHEMA)
 
 
-def encoder(pieces: DataFrame, max_piece_length: int = 16):
-    """A function from a text column to its array of pieces. The piece table, bounded by its training, is broadcast."""
-    scores = _with_floor({row["piece"]: row["score"] for row in pieces.collect()})
-    shared = pieces.sparkSession.sparkContext.broadcast(scores)
+def encoder(pieces: DataFrame):
+    """A function from a text column to its array of pieces. The piece table, bounded by its training, is broadcast.
+
+    A batch's distinct words that the worker has not met yet are cut together.
+    """
+    table = pieces.orderBy("piece").toArrow()
+    lattice = Lattice(Trie.of(table["piece"].to_pylist()), table["score"].to_numpy())
+    shared = pieces.sparkSession.sparkContext.broadcast((lattice.trie, lattice.scores))
 
     @F.pandas_udf("array<string>")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known = shared.value
+        cutter = Lattice(*shared.value)
         seen: dict[str, list[str]] = {}
         for batch in batches:
-            if len(seen) > 200_000:
-                seen.clear()
-            result = []
-            for text in batch:
-                pieces_of_text: list[str] = []
-                for word in text.split():
-                    found = seen.get(word)
-                    if found is None:
-                        found = seen[word] = best_segmentation(WORD_START + word, known, max_piece_length)[1]
-                    pieces_of_text.extend(found)
-                result.append(pieces_of_text)
-            yield pd.Series(result, dtype=object)
+            texts = [text.split() for text in batch]
+            distinct = {w for words in texts for w in words}
+            new = [w for w in distinct if w not in seen]
+            if len(seen) + len(new) > STORE:
+                seen, new = {}, list(distinct)
+            seen.update(zip(new, cutter.best([WORD_START + w for w in new])[1], strict=True))
+            yield pd.Series([list(chain.from_iterable(map(seen.__getitem__, words))) for words in texts], dtype=object)
 
     encode = encode.asNondeterministic()  # evaluated once per row, also when its result is filtered on
 

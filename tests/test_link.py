@@ -10,6 +10,7 @@ from catalogue.registry import QUERIES, SQL
 from rapproche.config import EmbeddingConfig, Parity, SubwordConfig, Thresholds
 from rapproche.operators import scoring
 from rapproche.operators.matching import merged_columns
+from rapproche.operators.model_store import ModelStore, digest, fit_or_load
 from rapproche.plans.link import link_entries, link_files, train_models
 from rapproche.session import stage
 from rapproche.sources import sinks
@@ -40,7 +41,7 @@ def result(spark, tmp_path_factory):
         JOB,
         thresholds=Thresholds(model=-1.0),
         subwords=SubwordConfig(vocab_size=60, seed_size=200),
-        embedding=EmbeddingConfig(vector_size=16, min_count=1, partitions=1),
+        embedding=EmbeddingConfig(vector_size=16, min_count=1),
     )
     return link_files(spark, str(one), str(two), config)
 
@@ -92,13 +93,45 @@ def test_raising_a_threshold_never_adds_pairs(spark):
         seen = ids
 
 
-def test_models_are_saved_and_used_again(spark, tmp_path):
+def test_models_are_found_by_settings_and_corpus(spark, tmp_path):
     config = dataclasses.replace(JOB, model_dir=str(tmp_path / "models"))
     t1, t2 = stage(frames.entries1(spark, SF), "e1"), stage(frames.entries2(spark, SF), "e2")
-    first = train_models(t1, t2, None, config)
-    again = train_models(t1.limit(1), t2.limit(1), None, config)
-    for name in ("pieces", "word_vectors", "ngrams"):
-        assert getattr(first, name).count() == getattr(again, name).count() > 0
+    rows = lambda models: {n: sorted(map(str, getattr(models, n).collect())) for n in ("pieces", "word_vectors", "ngrams")}
+    stores = [ModelStore(spark, f"{config.model_dir}/{n}") for n in ("pieces", "embeddings")]
+    first = rows(train_models(t1, t2, None, config))
+    assert all(first.values()) and [s.manifests().count() for s in stores] == [1, 1]
+    assert rows(train_models(t1.repartition(3), t2, None, config)) == first  # same corpus in another order
+    assert [s.manifests().count() for s in stores] == [1, 1]
+    other = dataclasses.replace(config, embedding=dataclasses.replace(config.embedding, vector_size=8))
+    assert rows(train_models(t1, t2, None, other))["pieces"] == first["pieces"]
+    assert [s.manifests().count() for s in stores] == [1, 2]
+    train_models(t1, t2.limit(50), None, config)  # another corpus of pieces; the embeddings depend on the pieces too
+    assert stores[0].manifests().count() == 2
+    assert rows(train_models(t1, t2, None, config)) == first
+
+
+def test_half_written_models_are_not_seen(spark, tmp_path):
+    store = ModelStore(spark, str(tmp_path / "store"))
+    assert store.load("a") is None
+    rows = spark.range(3)
+
+    def fails():
+        bad = spark.range(1).select(F.raise_error(F.lit("lost")).cast("long").alias("id"))
+        return {"one": rows, "two": bad}
+
+    for _ in range(2):
+        with pytest.raises(Exception, match="lost"):
+            fit_or_load(spark, store.folder, {"x": 1}, lambda: "s", fails)
+    assert store.manifests().count() == 0
+    unfinished = tmp_path / "store" / "manifests" / "b-1" / "_temporary"
+    unfinished.mkdir(parents=True)
+    assert store.load("b") is None
+    made = fit_or_load(spark, store.folder, {"x": 1}, lambda: "s", lambda: {"one": rows, "two": rows.where("id < 0")})
+    found = fit_or_load(spark, store.folder, {"x": 1}, lambda: "s", fails)
+    assert [found[t].count() for t in ("one", "two")] == [made[t].count() for t in ("one", "two")] == [3, 0]
+    newer = store.save(digest({"x": 1}, "s"), {"one": spark.range(5)})
+    assert newer["one"].count() == 5 and store.manifests().count() == 2
+    assert fit_or_load(spark, None, {"x": 1}, fails, lambda: {"one": rows})["one"].count() == 3
 
 
 def test_names_of_statements_and_queries_agree():

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from rapproche.config import EmbeddingConfig, NeighbourConfig, SubwordConfig
-from rapproche.operators import bm25, embedding, neighbours, subword
+from rapproche.operators import bm25, embedding, neighbours, skipgram, subword
+from rapproche.operators.lattice import Lattice, Trie
 from rapproche.operators.skew import SkewLimits
 
 DOCS = [(1, ["rue", "bac", "rue"]), (2, ["rue", "hugo"]), (3, ["quai", "bac"]), (4, ["rue", "foch", "paris", "x"]), (5, [])]
@@ -78,65 +79,209 @@ def test_likelihood_rises(spark):
     config = SubwordConfig(vocab_size=40, seed_size=500)
     counted = {r["word"]: r["n"] for r in words.collect()}
     counts = {r["piece"]: float(r["n"]) for r in subword.seed_pieces(words, config).collect()}
-    required = {r["piece"] for r in subword.covered_characters(words, 1.0).collect()}
-    counts.update(dict.fromkeys(required, 1.0))
-    scores = {p: math.log(n / sum(counts.values())) for p, n in counts.items()}
+    characters = {r["piece"] for r in subword.covered_characters(words, 1.0).collect()}
+    counts.update(dict.fromkeys(characters, 1.0))
+    pieces = sorted(counts)
+    trie, required = Trie.of(pieces), np.array([p in characters for p in pieces])
+    shared = spark.sparkContext.broadcast(trie)
+    scores = subword._maximised(np.array([counts[p] for p in pieces]), required)
     history = []
     for _ in range(4):
-        known = subword._with_floor(scores)
-        history.append(sum(n * subword.expected_counts(w, known, 16)[0] for w, n in counted.items()))
-        uses = subword._expectation(words, scores, 16)
-        total = sum(uses.values())
-        scores = {p: math.log(u / total) for p, u in uses.items() if u > 1e-12}
+        n = np.array(list(counted.values()), float)
+        likelihood, here = Lattice(trie, scores).expected(list(counted), n)
+        history.append(likelihood @ n)
+        uses = subword._expected_uses(words, shared, scores)
+        assert uses == pytest.approx(here)
+        scores = np.log(np.maximum(uses, 1e-300) / uses.sum())
     assert history == sorted(history)
 
 
+def all_cuttings(word, scores, floor):
+    if not word:
+        yield [], 0.0
+    for end in range(1, len(word) + 1):
+        if word[:end] in scores or end == 1:
+            for rest, score in all_cuttings(word[end:], scores, floor):
+                yield [word[:end], *rest], scores.get(word[:end], floor) + score
+
+
 def test_expected_counts_against_enumeration():
-    scores = subword._with_floor({"a": -1.0, "b": -2.0, "ab": -1.5, "ba": -2.5, "aba": -3.0})
-
-    def cuts(word):
-        if not word:
-            yield [], 0.0
-        for end in range(1, len(word) + 1):
-            if word[:end] in scores:
-                for rest, score in cuts(word[end:]):
-                    yield [word[:end], *rest], scores[word[:end]] + score
-
-    found = list(cuts("ababa"))
-    total = sum(math.exp(s) for _, s in found)
+    random = np.random.default_rng(1)
+    for trial in range(12):
+        signs = list("abé漢")[: 2 + trial % 3]
+        pieces = sorted({"".join(random.choice(signs, random.integers(1, 5))) for _ in range(9)})
+        scores = dict(zip(pieces, (-random.random(len(pieces)) * 4).tolist(), strict=True))
+        words = ["".join(random.choice([*signs, "z"], random.integers(1, 9))) for _ in range(15)]
+        lattice = Lattice(Trie.of(pieces), np.array(list(scores.values())))
+        counts = random.integers(1, 5, len(words)).astype(float)
+        likelihood, uses = lattice.expected(words, counts)
+        best, cuttings = lattice.best(words)
+        without, _ = lattice.best(words, whole=False)
+        expected = Counter()
+        for i, word in enumerate(words):
+            found = list(all_cuttings(word, scores, lattice.floor))
+            total = sum(math.exp(s) for _, s in found)
+            assert likelihood[i] == pytest.approx(math.log(total))
+            for cut, score in found:
+                for piece in cut:
+                    if piece in scores:
+                        expected[piece] += math.exp(score) / total * counts[i]
+            assert best[i] == pytest.approx(max(s for _, s in found))
+            assert "".join(cuttings[i]) == word
+            other = [s for cut, s in found if cut != [word]] or [lattice.floor]
+            assert without[i] == pytest.approx(max(other))
+        assert uses == pytest.approx([expected[p] for p in pieces])
+
+
+def test_removed_pieces_are_no_pieces():
+    pieces = ["a", "ab", "b", "ba"]
+    some = Lattice(Trie.of(pieces), np.array([-1.0, -np.inf, -2.0, -1.5]))
+    left = Lattice(Trie.of(["a", "b", "ba"]), np.array([-1.0, -2.0, -1.5]))
+    words = ["abab", "ba", "a", "zzab"]
+    assert some.best(words)[1] == left.best(words)[1]
+    assert some.expected(words, np.ones(4))[0] == pytest.approx(left.expected(words, np.ones(4))[0])
+    assert some.best(["azzb"])[1] == [["a", "zz", "b"]]
+
+
+def test_ties_keep_the_longest_last_piece():
+    lattice = Lattice(Trie.of(["a", "aa", "aaa"]), np.array([-1.0, -2.0, -3.0]))
+    assert lattice.best(["aaaa", "aa"])[1] == [["a", "aaa"], ["aa"]]
+    assert Lattice(Trie.of([]), np.zeros(0)).best(["xyz", ""])[1] == [["xyz"], []]
+
+
+def test_very_long_words(spark):
+    word = "ab" * 50_000
+    lattice = Lattice(Trie.of(["a", "ab", "b", "ba"]), np.log([0.2, 0.3, 0.3, 0.2]))
+    likelihood, uses = lattice.expected([word], np.ones(1))
+    assert np.isfinite(likelihood[0]) and uses @ [1, 2, 1, 2] == pytest.approx(100_000)
+    assert set(lattice.best([word])[1][0]) == {"ab"}
+    rows = spark.createDataFrame([("▁" + "ab" * 5_000, 1), ("▁abab", 3)], "word string, n long")
+    found = {r["piece"]: r["n"] for r in subword.frequent_pieces(rows, 2, 16).collect()}
+    assert found["abab"] == 4_999 + 3 and found["ba" * 8] == 4_992 and found["▁ab"] == 4 and "▁ababa" not in found
+
+
+@pytest.mark.parametrize("least", [2, 5])
+def test_frequent_pieces_match_brute_force(spark, least):
+    random = np.random.default_rng(least)
+    words = Counter("▁" + "".join(random.choice(list("abcé"), random.integers(1, 30))) for _ in range(120))
+    words.update({"▁abcabcabcabcabc": 4, "▁a": 9, "▁": 3, "▁aaaaaaaaaaaaaaaaaaaaaaaaa": 1})
     expected = Counter()
-    for pieces, score in found:
-        for piece in pieces:
-            expected[piece] += math.exp(score) / total
-    likelihood, uses = subword.expected_counts("ababa", scores, 16)
-    got = Counter()
-    for piece, use in uses:
-        got[piece] += use
-    assert likelihood == pytest.approx(math.log(total))
-    assert got == pytest.approx(expected)
-    best = max(found, key=lambda f: f[1])
-    assert subword.best_segmentation("ababa", scores, 16)[0] == pytest.approx(best[1])
-    assert math.isfinite(subword.expected_counts("ab" * 3000, scores, 16)[0])
+    for word, n in words.items():
+        for i in range(len(word)):
+            for size in range(2, min(16, len(word) - i) + 1):
+                expected[word[i : i + size]] += n
+    rows = spark.createDataFrame(list(words.items()), "word string, n long").repartition(3)
+    found = {r["piece"]: r["n"] for r in subword.frequent_pieces(rows, least, 16).collect()}
+    assert found == {p: n for p, n in expected.items() if n >= least}
+    best = sorted(found, key=lambda p: (-found[p] * len(p), p))[:50]
+    if least == 2:
+        assert [r["piece"] for r in subword.seed_pieces(rows, SubwordConfig(seed_size=50)).collect()] == best
+
+
+def nearest_tokens(found, token, among, n=5):
+    unit = lambda v: v / np.linalg.norm(v)
+    return sorted(among, key=lambda s: -(unit(found[s]) @ unit(found[token])))[:n]
 
 
 def test_typing_errors_stay_close(spark):
-    streets = ["republique", "victorhugo", "charlesdegaulle", "jeanjaures", "gambetta", "marechalfoch"]
+    """One sign left out, doubled or changed: the right token is among the nearest five of some hundreds."""
     random = np.random.default_rng(3)
-    lists = [(i, ["rue" if i % 2 else "avenue", str(random.choice(streets)), "paris"]) for i in range(400)]
+    syllables = "ra ne mo li que vi tor hu go ba st en pa ris du bo la ru fo ch ma clerc jean jau res sa int mar tin".split()
+    names = sorted({"".join(random.choice(syllables, random.integers(2, 5))) for _ in range(400)})
+    types = ["rue", "avenue", "place", "quai"]
+    lists = [(i, [types[i % 4], "de", "la", names[i % len(names)], names[(i * 7 + 3) % len(names)]]) for i in range(6000)]
     docs = spark.createDataFrame(lists, "id long, tokens array<string>")
-    config = EmbeddingConfig(vector_size=24, epochs=2, partitions=1)
-    words = embedding.train_word_vectors(docs, config)
-    ngrams = embedding.ngram_vectors(words, config)
-    wanted = spark.createDataFrame([(t,) for t in [*streets, "republiqe", "gambeta", "zzz"]], "token string")
+    config = EmbeddingConfig(vector_size=48, shard_tokens=8000)
+    words, ngrams = skipgram.train_vectors(docs, config)
+    typos = {}
+    for n, name in enumerate(n for n in names if len(n) > 5):
+        i = int(random.integers(1, len(name) - 1))
+        typo = (name[:i] + name[i + 1 :], name[:i] + name[i] + name[i:], name[:i] + "z" + name[i + 1 :])[n % 3]
+        if typo not in names:
+            typos[typo] = name
+    wanted = spark.createDataFrame([(t,) for t in [*names, *typos, "%%%"]], "token string")
     found = {r["token"]: np.array(r["vector"]) for r in embedding.token_vectors(wanted, words, ngrams, config).collect()}
-    assert "zzz" not in found
+    assert "%%%" not in found
+    hits = [name in nearest_tokens(found, typo, names) for typo, name in typos.items()]
+    assert len(hits) > 200 and np.mean(hits) > 0.8
 
-    def closest(token):
-        unit = lambda v: v / np.linalg.norm(v)
-        return max(streets, key=lambda s: unit(found[s]) @ unit(found[token]))
 
-    assert closest("republiqe") == "republique" and closest("gambeta") == "gambetta"
-    assert embedding.train_word_vectors(docs.where("false"), config).count() == 0
+def test_tokens_of_like_contexts_are_alike(spark):
+    """Two languages of tokens that never meet end up apart."""
+    random = np.random.default_rng(4)
+    sides = [[f"{x}{i}" for i in range(60)] for x in ("ab", "cd")]
+    lists = [(i, [str(t) for t in random.choice(sides[i % 2], 8)]) for i in range(4000)]
+    docs = spark.createDataFrame(lists, "id long, tokens array<string>")
+    config = EmbeddingConfig(vector_size=16, epochs=3, min_n=20, max_n=20)  # no n-gram tells the sides apart
+    words, ngrams = skipgram.train_vectors(docs, config)
+    assert ngrams.count() == 0
+    found = {r["token"]: np.array(r["vector"]) for r in words.collect()}
+    assert len(found) == 120
+    right = [sum(t[:2] == token[:2] for t in nearest_tokens(found, token, [x for x in found if x != token])) for token in found]
+    assert np.mean(right) > 4.9
+
+
+def test_vectors_do_not_depend_on_partitions_or_batches(spark):
+    random = np.random.default_rng(6)
+    vocabulary = [f"token{i}" for i in range(80)]
+    lists = [(i, [str(t) for t in random.choice(vocabulary, random.integers(0, 30))]) for i in range(900)]
+    lists += [(1, lists[0][1])] * 100 + [(2, None), (3, [])]
+    config = EmbeddingConfig(vector_size=8, epochs=2, shard_tokens=3000)
+    docs = spark.createDataFrame(lists, "id long, tokens array<string>")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    results = []
+    try:
+        for partitions, rows in ((1, "10000"), (7, "64")):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+            tables = skipgram.train_vectors(docs.repartition(partitions), config)
+            results.append([sorted(map(tuple, ((r[0], tuple(r[1])) for r in t.collect()))) for t in tables])
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert results[0] == results[1] and len(results[0][0]) == 80
+    assert skipgram._dealt(docs, skipgram.Vocabulary(vocabulary, np.ones(80), np.arange(80), np.arange(81)), config)[1] > 3
+
+
+def test_gradient_of_a_step_against_differences():
+    """A small step raises the pairs' likelihood as much as its gradient says."""
+    random = np.random.default_rng(2)
+    counts = np.array([5.0, 4.0, 3.0, 2.0])
+    vocabulary = skipgram.Vocabulary(list("abcd"), counts, np.array([0, 4, 1, 2, 4, 5, 3]), np.array([0, 2, 3, 6, 7]))
+    model = skipgram.Model.start(4, 2, 6, 1)
+    model.input[:] = random.standard_normal(model.input.shape)
+    model.output[:] = random.standard_normal(model.output.shape)
+    trainer = skipgram.Trainer(model, vocabulary, EmbeddingConfig(vector_size=6, negative=3), 0.0, [1])
+    moves = {}
+    trainer.move = lambda matrix, rows, seen, place, gradient: moves.__setitem__(id(matrix), (rows, gradient))
+    vectors = random.standard_normal((4, 6)).astype(np.float32)
+    centre, context = np.array([0, 2, 2, 3, 1]), np.array([1, 0, 3, 2, 2])
+    state = trainer.random.bit_generator.state
+    trainer.step(vectors, np.arange(4), centre, context)
+    trainer.random.bit_generator.state = state
+    drawn = np.minimum(np.searchsorted(trainer.drawn, trainer.random.random((1, 3))), 3)[0]
+
+    def likelihood(inner, outer):
+        sigmoid = lambda x: 1 / (1 + np.exp(-x))
+        total = 0.0
+        for c, o in zip(centre, context, strict=True):
+            total += np.log(sigmoid(inner[c] @ outer[o])) + sum(np.log(sigmoid(-inner[c] @ outer[d])) for d in drawn if d != o)
+        return total
+
+    inner, outer = vectors.astype(np.float64), model.output.astype(np.float64)
+    for target, (rows, gradient) in ((0, moves[id(vectors)]), (1, moves[id(trainer.model.output)])):
+        for row, slope in zip(rows, gradient, strict=True):
+            for k in range(6):
+                sides = []
+                for sign in (1e-5, -1e-5):
+                    moved = [inner.copy(), outer.copy()]
+                    moved[target][row, k] += sign
+                    sides.append(likelihood(*moved))
+                assert (sides[0] - sides[1]) / 2e-5 == pytest.approx(slope[k], abs=1e-3)
+
+
+def test_no_frequent_token_gives_empty_tables(spark):
+    docs = spark.createDataFrame([(1, ["a", "b"]), (2, None)], "id long, tokens array<string>")
+    assert [t.count() for t in skipgram.train_vectors(docs, EmbeddingConfig(vector_size=4))] == [0, 0]
+    assert embedding.train_word_vectors(docs.where("false")).count() == 0
 
 
 def vectors_frame(spark, matrix, name):
@@ -183,13 +328,67 @@ def test_trees_find_nearly_all(spark, crowded):
     assert np.mean([at[r["query_id"]] == r["reference_id"] for r in found]) > 0.95
 
 
+def leaf_sizes(spark, references, config):
+    unit = neighbours.distinct_references(neighbours.unit_vectors(references, "reference_id"))
+    trees = neighbours.grow_trees(unit, config)
+    return trees, neighbours.deal_to_leaves(unit, "reference_id", trees).groupBy("cell").count()
+
+
 def test_leaves_are_balanced(spark, crowded):
     references = vectors_frame(spark, crowded[1], "reference_id")
-    unit = neighbours.distinct_references(neighbours.unit_vectors(references, "reference_id"))
-    config = NeighbourConfig(trees=4, leaf_size=50)
-    sizes = neighbours.deal_to_leaves(unit, "reference_id", neighbours.grow_trees(unit, config)).groupBy("cell").count()
-    assert unit.count() == 600
-    assert sizes.agg(F.max("count")).first()[0] <= 60
+    for upper in (16, 2):  # all levels broadcast, or the lower two joined
+        trees, sizes = leaf_sizes(spark, references, NeighbourConfig(trees=4, leaf_size=50, upper_levels=upper))
+        assert trees.depth == 4 and len(trees.deeper) == (2 if upper == 2 else 0)
+        assert sizes.agg(F.sum("count"), F.max("count"), F.count("*")).first()[:] == (2400, 38, 64)
+
+
+def test_sixteen_levels_stay_balanced(spark):
+    """As deep as trees over 67 million references; the leaf holds few here, so that as many levels fit."""
+    rows = spark.range(1 << 19).select(
+        F.col("id").alias("reference_id"),
+        F.array(*[F.pow(F.pmod(F.xxhash64("id", F.lit(k)), F.lit(1 << 30)) / (1 << 30), 3) for k in range(4)]).alias("vector"),
+    )
+    trees = neighbours.grow_trees(rows, NeighbourConfig(trees=1, leaf_size=8, upper_levels=14), 1 << 19)
+    assert trees.depth == 16 and len(trees.deeper) == 2
+    sizes = neighbours.deal_to_leaves(rows, "reference_id", trees).groupBy("cell").count()
+    most, mean, leaves = sizes.agg(F.max("count"), F.avg("count"), F.count("*")).first()
+    assert leaves == 1 << 16 and most / mean < 1.3
+
+
+def test_deeper_levels_find_the_same(spark, crowded):
+    queries = vectors_frame(spark, crowded[0], "query_id")
+    references = vectors_frame(spark, crowded[1], "reference_id")
+    found = [
+        sorted(map(tuple, neighbours.nearest(queries, references, NeighbourConfig(trees=3, leaf_size=50, upper_levels=u)).collect()))
+        for u in (16, 1)
+    ]
+    assert found[0] == found[1]
+
+
+@pytest.mark.parametrize("pivot_bytes", [1 << 26, 8 * 16 * 5])
+def test_exact_search_prunes_on_two_levels(spark, pivot_bytes):
+    """Clustered vectors: most cells are ruled out, and the true nearest is found whatever their number."""
+    random = np.random.default_rng(8)
+    centres = random.standard_normal((30, 16))
+    references = centres[random.integers(0, 30, 3000)] + random.standard_normal((3000, 16)) * 0.1
+    queries = centres[random.integers(0, 30, 400)] + random.standard_normal((400, 16)) * 0.1
+    config = NeighbourConfig(trees=1, leaf_size=100, chunk_rows=500, exact=True, pivot_bytes=pivot_bytes)
+    r = vectors_frame(spark, references, "reference_id")
+    unit = neighbours.unit_vectors(r, "reference_id").cache()
+    pivots = neighbours.choose_pivots(unit, 3000, config)
+    cells, groups = (5, 3) if pivot_bytes < 1000 else (55, 8)
+    assert (len(pivots.cells), len(pivots.groups), pivots.first[-1]) == (cells, groups, cells)
+    found = neighbours.nearest(vectors_frame(spark, queries, "query_id"), r, config).collect()
+    at, score = brute_nearest(queries, references)
+    assert {r["query_id"]: r["reference_id"] for r in found} == dict(enumerate(at))
+    placed = neighbours._nearest_pivot(unit, pivots)
+    ranges = [neighbours._ranges(placed, k, a, n) for k, a, n in (("cell", "angle", cells), ("group", "group_angle", groups))]
+    lengths = queries / np.linalg.norm(queries, axis=1, keepdims=True)
+    open_cells = neighbours._reachable(lengths, pivots.cells, ranges[0], score)
+    open_groups = neighbours._reachable(lengths, pivots.groups, ranges[1], score)
+    if cells == 55:
+        assert open_groups.mean() < 0.9 and open_cells.mean() < 0.5
+    unit.unpersist()
 
 
 def test_threshold_and_empty_sides(spark, crowded):
