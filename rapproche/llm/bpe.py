@@ -21,7 +21,7 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,7 +32,7 @@ SEPARATORS = re.compile("[\x1c-\x1f]")  # str.split() parts at these, the file's
 
 #: Bytes, roughly, of words that a worker keeps with their ids in each of two generations: a full one becomes the old one,
 #: whose words move up when they occur again. Longer chunks are not kept. Both change nothing but time and memory.
-STORE_BYTES = 12 << 20
+STORE_BYTES = 32 << 20
 STORED_LENGTH = 48
 #: Broadcast bound of the vocabulary file.
 MOST_BYTES = 64 << 20
@@ -194,26 +194,32 @@ def _encoder(model: BpeModel) -> Encoder:
     return _held[model.digest]
 
 
-def _with_column(df: DataFrame, name: str, kind: pa.DataType, make) -> DataFrame:
-    """``df`` with one more column, made from the Arrow column that ``make`` names first."""
-    source, convert = make
-    df = df.drop(name)
-    schema = T.StructType([*df.schema.fields, T.StructField(name, T._parse_datatype_string(kind))])
+def _with_columns(df: DataFrame, *made: tuple, without: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` with more columns (name, type, source, start), in one pass: ``start()`` gives a function of the source column.
+
+    A source may be a column made before. Columns ``without`` serve as sources and are not returned.
+    """
+    df = df.drop(*[name for name, *_ in made])
+    added = [T.StructField(name, T._parse_datatype_string(kind)) for name, kind, *_ in made]
+    schema = T.StructType([f for f in [*df.schema.fields, *added] if f.name not in without])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state = convert()
+        steps = [(name, source, start()) for name, _, source, start in made]
         for batch in batches:
             for first in range(0, max(batch.num_rows, 1), 500):  # long texts: small batches
                 part = batch.slice(first, 500)
-                column = state(part.column(batch.schema.get_field_index(source)))
-                yield pa.RecordBatch.from_arrays([*part.columns, column], names=[*batch.schema.names, name])
+                names, columns = list(part.schema.names), list(part.columns)
+                for name, source, make in steps:
+                    columns.append(make(columns[names.index(source)]))
+                    names.append(name)
+                kept = [i for i, name in enumerate(names) if name not in without]
+                yield pa.RecordBatch.from_arrays([columns[i] for i in kept], names=[names[i] for i in kept])
 
     return df.mapInArrow(run, schema)
 
 
-def encode(docs: DataFrame, model: BpeModel, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``docs`` with the token ids of each whole text in column ``ids``."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+def _encoding(spark: SparkSession, model: BpeModel, text: str, ids: str) -> tuple:
+    sent = spark.sparkContext.broadcast(model)
 
     def start():
         encoder = _encoder(sent.value)
@@ -227,15 +233,14 @@ def encode(docs: DataFrame, model: BpeModel, text: str = "text", ids: str = "ids
 
         return column
 
-    return _with_column(docs, ids, "array<int>", (text, start))
+    return ids, "array<int>", text, start
 
 
-def decode(docs: DataFrame, model: BpeModel, ids: str = "ids", text: str = "decoded") -> DataFrame:
-    """``docs`` with the vocabulary strings of ``ids``, special tokens included, in column ``text``."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+def _decoding(spark: SparkSession, model: BpeModel, ids: str, text: str) -> tuple:
+    sent = spark.sparkContext.broadcast(model.strings())
 
     def start():
-        strings = pa.array(sent.value.strings())
+        strings = pa.array(sent.value)
 
         def column(rows: pa.Array) -> pa.Array:
             rows = rows.fill_null([]) if rows.null_count else rows
@@ -245,12 +250,24 @@ def decode(docs: DataFrame, model: BpeModel, ids: str = "ids", text: str = "deco
 
         return column
 
-    return _with_column(docs, text, "string", (ids, start))
+    return text, "string", ids, start
+
+
+def encode(docs: DataFrame, model: BpeModel, text: str = "text", ids: str = "ids") -> DataFrame:
+    """``docs`` with the token ids of each whole text in column ``ids``."""
+    return _with_columns(docs, _encoding(docs.sparkSession, model, text, ids))
+
+
+def decode(docs: DataFrame, model: BpeModel, ids: str = "ids", text: str = "decoded") -> DataFrame:
+    """``docs`` with the vocabulary strings of ``ids``, special tokens included, in column ``text``."""
+    return _with_columns(docs, _decoding(docs.sparkSession, model, ids, text))
 
 
 def digests(docs: DataFrame, model: BpeModel, *keep: str) -> DataFrame:
-    """Columns ``keep``, number of tokens, and SHA-256 of the ids and of the decoded text."""
-    coded = decode(encode(docs.select(*keep, "text"), model).drop("text"), model)
+    """Columns ``keep``, number of tokens, and SHA-256 of the ids and of the decoded text, encoded and decoded in one pass."""
+    spark = docs.sparkSession
+    steps = _encoding(spark, model, "text", "ids"), _decoding(spark, model, "ids", "decoded")
+    coded = _with_columns(docs.select(*keep, "text"), *steps, without=("text",))
     return coded.select(
         *keep,
         F.size("ids").cast("long").alias("n_tokens"),
