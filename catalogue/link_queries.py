@@ -48,6 +48,35 @@ def rejected_lines(spark, sf_dir):
     return files.read_source2(spark, frames.write_source2_file(spark, sf_dir))[1]
 
 
+@query("f1_blank_lines", f"""WITH s AS ({SOURCE1_SQL}) SELECT concat_ws(chr(9), entry_id, name, street_number, street_type,
+  street_name, address2, postal_code, city) AS line FROM s WHERE id % 2 = 1 UNION ALL
+  SELECT concat(' "', name, chr(39)) FROM s WHERE id % 2 = 0 AND id % 6 = 0""")
+def blank_lines(spark, sf_dir):
+    """Lines that are empty, or nothing but quotes, are dropped; quotes around a line are cut, others stay."""
+    path = scratch_path(spark, "blank-lines")
+    rows = frames.source1(spark, sf_dir)
+    line = F.concat_ws("\t", *[F.coalesce(F.col(c), F.lit("")) for c in files.SOURCE1_FIELDS])
+    odd = F.when(F.col("id") % 6 == 0, F.concat(F.lit(' "'), F.col("name"), F.lit("'\"")))
+    blank = F.when(F.col("id") % 6 == 2, F.lit("")).otherwise(F.lit('""'))
+    text = F.when(F.col("id") % 2 == 1, F.concat(F.lit('"'), line, F.lit('"'))).otherwise(F.coalesce(odd, blank))
+    rows.select(text.alias("line")).write.options(**frames.LINE_FILE).csv(path)
+    return files.split_lines(files.read_lines(spark, path)).select("line")
+
+
+@query("s5_many_files_one_scan", f"""WITH s AS ({SOURCE1_SQL}) SELECT concat_ws(chr(9), entry_id, name, street_number,
+  street_type, street_name, address2, postal_code, city) AS line FROM s UNION ALL
+  SELECT concat_ws(chr(9), entry_id, name) FROM s""")
+def many_files(spark, sf_dir):
+    """Plain and gzipped files side by side, each with a header of its own."""
+    path = scratch_path(spark, "many-files")
+    rows = frames.source1(spark, sf_dir).repartition(5)
+    fields = [F.coalesce(F.col(c), F.lit("")) for c in files.SOURCE1_FIELDS]
+    rows.select(F.concat_ws("\t", *fields).alias("line")).write.options(**frames.LINE_FILE).csv(path)
+    short = rows.select(F.concat_ws("\t", *fields[:2]).alias("line")).repartition(3)
+    short.write.mode("append").options(compression="gzip", **frames.LINE_FILE).csv(path)
+    return files.read_lines(spark, path)
+
+
 NATIONAL_SQL = f"""SELECT street_number, concat(street_type, ' ', street_name) AS street_name, postal_code, city,
   'old' AS old_city FROM ({SOURCE1_SQL}) s WHERE id % 40 <> 0"""
 
@@ -255,19 +284,19 @@ SCORES_SQL = ", ".join(
 )
 
 
-def _scores(scored: DataFrame) -> DataFrame:
+def rounded_pair_scores(scored: DataFrame) -> DataFrame:
     columns = [F.round(F.col(f"{n}_score").cast("double"), 6).alias(f"{n}_score") for n in SCORE_NAMES]
     return scored.select("query_id", "reference_id", *columns)
 
 
 @query("m5_score_pairs", f"WITH RECURSIVE {SCORED_CTES} SELECT query_id, reference_id, {SCORES_SQL} FROM passed")
 def score_pairs(spark, sf_dir):
-    return _scores(scoring.score_pairs(candidate_pairs(spark, sf_dir)))
+    return rounded_pair_scores(scoring.score_pairs(candidate_pairs(spark, sf_dir)))
 
 
 @query("f9_score_pairs_open", f"WITH RECURSIVE {SCORED_CTES} SELECT query_id, reference_id, {SCORES_SQL} FROM scored")
 def score_pairs_open(spark, sf_dir):
-    return _scores(scoring.score_pairs(candidate_pairs(spark, sf_dir), Thresholds.open()))
+    return rounded_pair_scores(scoring.score_pairs(candidate_pairs(spark, sf_dir), Thresholds.open()))
 
 
 @query("f7_city_barrier", f"""WITH RECURSIVE {PAIR_CTES}, {fuzzy_ctes('city', 'city')}
@@ -290,7 +319,7 @@ def city_barrier(spark, sf_dir):
   SELECT query_id, reference_id, {SCORES_SQL} FROM scored WHERE city_score > 0.9 AND address_score >= 0.7
     AND postal_code_score >= 1 AND name_score >= 0.8 AND street_number_score >= 1""")
 def score_pairs_intended(spark, sf_dir):
-    return _scores(scoring.score_pairs(candidate_pairs(spark, sf_dir), Thresholds(), Parity.intended()))
+    return rounded_pair_scores(scoring.score_pairs(candidate_pairs(spark, sf_dir), Thresholds(), Parity.intended()))
 
 
 SIDES = {1: "reference", 2: "query"}
@@ -334,10 +363,10 @@ def scores_tsv(spark, sf_dir):
     sinks.write_scores_tsv(scores, path)
     columns = score_table(scores).columns
     schema = ", ".join(f"{c} {'double' if c.endswith('_score') else 'string'}" for c in columns)
-    return _rounded_scores(_read_tsv(spark, path, schema))
+    return _rounded_scores(read_tsv(spark, path, schema))
 
 
-def _read_tsv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def read_tsv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     rows = spark.read.schema(schema).options(sep="\t", header=True, quote="", nullValue="\u0001").csv(path)
     return rows.select(
         *[F.coalesce(c, F.lit("")).alias(c) if t == "string" else F.col(c) for c, t in rows.dtypes]
@@ -379,7 +408,7 @@ def merged_tsv(spark, sf_dir):
     path = scratch_path(spark, "merged")
     sinks.write_merged_tsv(_merged(spark, sf_dir), path)
     schema = "merged_id long, " + ", ".join(f"{c} string" for c in matching.merged_columns())
-    return _read_tsv(spark, path, schema)
+    return read_tsv(spark, path, schema)
 
 
 @query("w2_number_rows", """SELECT row_number() OVER (ORDER BY o_totalprice, o_orderkey) AS n, o_orderkey FROM orders""")

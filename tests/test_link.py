@@ -11,7 +11,7 @@ from rapproche.config import EmbeddingConfig, Parity, SubwordConfig, Thresholds
 from rapproche.operators import scoring
 from rapproche.operators.matching import merged_columns
 from rapproche.operators.model_store import ModelStore, digest, fit_or_load
-from rapproche.plans.link import link_entries, link_files, train_models
+from rapproche.plans.link import RUN, link_entries, link_files, run_link, train_models
 from rapproche.session import stage
 from rapproche.sources import sinks
 
@@ -146,3 +146,18 @@ def test_pair_checks_run_in_stages(spark):
     assert last < plan.index("Filter", last) < first
     strict = scoring.score_pairs(pairs, Thresholds(), Parity.intended()).count()
     assert strict <= scoring.score_pairs(pairs).count()
+
+
+def test_run_writes_everything(spark, tmp_path):
+    one, two = tmp_path / "one.tsv", tmp_path / "two.tsv"
+    one.write_text("h\n" + "\n".join("\t".join(r) for r in [*ROWS1, ("", *ROWS1[0][1:])]) + "\n")
+    two.write_text("h\n" + "\n".join("\t".join(r) for r in [*ROWS2, (*ROWS2[0][:2], "", ROWS2[0][3])]) + "\nbad\tline\n")
+    small = {"subwords": SubwordConfig(vocab_size=60, seed_size=200), "embedding": EmbeddingConfig(vector_size=16, min_count=1)}
+    config = dataclasses.replace(RUN, thresholds=Thresholds(model=-1.0), **small)
+    counts = {r["match_type"]: r["n"] for r in run_link(spark, str(one), str(two), str(tmp_path / "out"), config).collect()}
+    pairs = {r["kind"]: (r["ids"], int(r["pairs"])) for r in spark.read.parquet(str(tmp_path / "out" / "id_pairs")).collect()}
+    assert pairs == {"blank": (1, 1), "other": (1, 1)}
+    assert counts["id"] == 1 and counts["similarity"] >= 2  # the rows without id are left to similarity
+    assert spark.read.parquet(str(tmp_path / "out" / "rejects")).count() == 1
+    merged = [r[0].split("\t") for r in spark.read.text(str(tmp_path / "out" / "merged")).collect()]
+    assert len([m for m in merged if m[0] != "merged_id"]) == sum(counts.values())

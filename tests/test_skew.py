@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from rapproche.operators.matching import link_by_id, unmatched
+from rapproche.operators.matching import id_pairs, link_by_id, unmatched
 from rapproche.operators.numbering import number_rows, part_number
 from rapproche.operators.skew import SkewLimits, fits_broadcast, hot_keys, lookup_join, salted_join
 
@@ -89,3 +89,13 @@ def test_blank_ids_join_each_other_unless_skipped(spark):
     assert [r["id"] for r in unmatched(t1, t2).collect()] == [4]
     assert sorted(r["id"] for r in unmatched(t1, t2, skip_blank_ids=True).collect()) == [1, 2, 4]
     assert sorted(r["id"] for r in unmatched(t2, t1, limits=SkewLimits(task_rows=1)).collect()) == [4]
+
+
+def test_id_pairs_are_those_of_the_join(spark):
+    rows = lambda ids: spark.createDataFrame([(i,) for i in ids], "rawid string")
+    one, two = rows(["", "", "", "a", "a", "b", None]), rows(["", "", "a", "a", "a", "c", None])
+    found = {r["kind"]: (r["ids"], int(r["pairs"])) for r in id_pairs(one, two).collect()}
+    assert found == {"blank": (1, 6), "other": (1, 6)}
+    assert {r["kind"]: int(r["pairs"]) for r in id_pairs(one, rows([])).collect()} == {"blank": 0, "other": 0}
+    many = spark.range(200_000).select(F.when(F.col("id") % 2 == 0, "").otherwise(F.col("id").cast("string")).alias("rawid"))
+    assert {r["kind"]: int(r["pairs"]) for r in id_pairs(many, many).collect()} == {"blank": 10**10, "other": 10**5}
