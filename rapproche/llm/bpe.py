@@ -112,38 +112,43 @@ class Encoder:
         signs = [self.signs[b] for b in piece.encode()]
         signs[-1] += self.suffix
         symbol = [self.vocab[s] for s in signs if s in self.vocab]
-        n = len(symbol)
+        n, ranks = len(symbol), self.ranks
+        if n < 2:
+            return symbol
         before, after = list(range(-1, n - 1)), [*range(1, n), -1]
-        queue: list[tuple[int, int, int, int]] = []
-
-        def offer(left: int) -> None:
-            right = after[left]
-            if right >= 0 and (found := self.ranks.get((symbol[left], symbol[right]))):
-                heapq.heappush(queue, (found[0], left, symbol[left], symbol[right]))
-
-        for i in range(n - 1):
-            offer(i)
+        queue = [
+            (found[0], i, symbol[i], symbol[i + 1])
+            for i in range(n - 1)
+            if (found := ranks.get((symbol[i], symbol[i + 1])))
+        ]
+        heapq.heapify(queue)
         while queue:
             _, left, a, b = heapq.heappop(queue)
             right = after[left]
             if symbol[left] != a or right < 0 or symbol[right] != b:
                 continue  # stale: a neighbour was merged since
-            symbol[left] = self.ranks[a, b][1]
+            merged = symbol[left] = ranks[a, b][1]
             symbol[right] = -1
-            after[left] = after[right]
-            if after[right] >= 0:
-                before[after[right]] = left
-            offer(left)
-            if before[left] >= 0:
-                offer(before[left])
+            right = after[left] = after[right]
+            if right >= 0:
+                before[right] = left
+                if found := ranks.get((merged, symbol[right])):
+                    heapq.heappush(queue, (found[0], left, merged, symbol[right]))
+            other = before[left]
+            if other >= 0 and (found := ranks.get((symbol[other], merged))):
+                heapq.heappush(queue, (found[0], other, symbol[other], merged))
         return [s for s in symbol if s >= 0]
 
     def chunk(self, text: str) -> list[int]:
         """Ids of a chunk that the store does not hold."""
         if (found := self.older.get(text)) is not None:
             return self.keep(text, found)
+        if text.isalpha():  # letters alone are one piece
+            return self.keep(text, self.word(text))
+        letters = text.rstrip(".,;:!?")
+        parts = (letters, text[len(letters) :]) if letters.isalpha() else pieces(text)
         ids: list[int] = []
-        for piece in pieces(text):
+        for piece in parts:
             found = self.store.get(piece)  # a piece on its own is a chunk too
             if found is None:
                 found = self.older.get(piece)
