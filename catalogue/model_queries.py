@@ -26,7 +26,7 @@ from rapproche.sources.sinks import score_table
 
 
 @query("a2_corpus_stats", f"""WITH {S.DOCS_CTE}, {S.bm25_ctes()}
-  SELECT term, df, round(idf, 6) AS idf, round((SELECT avgdl FROM tot), 6) AS avgdl FROM terms""")
+  SELECT term, df, round(idf, 6) AS idf, round(avgdl, 6) AS avgdl FROM terms, tot""")
 def corpus_stats(spark, sf_dir):
     stats = bm25.corpus_stats(documents(spark, sf_dir))
     avgdl = stats.totals.select("avgdl").scalar()

@@ -173,11 +173,12 @@ def bm25_ctes(docs: str = "docs") -> str:
     """CTEs tot, tf, terms(term, df, idf) and weights(id, term, tf, doc_len, weight) over docs(id, tokens)."""
     return f"""
 occ AS (SELECT id, len(tokens) AS doc_len, unnest(tokens) AS term FROM {docs}),
-tf AS (SELECT id, doc_len, term, count(*) AS tf FROM occ GROUP BY ALL),
-tot AS (SELECT count(*) AS n_docs, avg(len(tokens)) AS avgdl FROM {docs}),
+tf AS MATERIALIZED (SELECT id, doc_len, term, count(*) AS tf FROM occ GROUP BY ALL),
+tot AS MATERIALIZED (SELECT count(*) AS n_docs, avg(len(tokens)) AS avgdl FROM {docs}),
 dfs AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
-raw_idf AS (SELECT term, df, ln(n_docs - df + 0.5) - ln(df + 0.5) AS r FROM dfs, tot),
-terms AS (SELECT term, df, CASE WHEN r < 0 THEN {EPSILON} * (SELECT avg(r) FROM raw_idf) ELSE r END AS idf FROM raw_idf),
+raw_idf AS MATERIALIZED (SELECT term, df, ln(n_docs - df + 0.5) - ln(df + 0.5) AS r FROM dfs, tot),
+mean_idf AS MATERIALIZED (SELECT avg(r) AS mean FROM raw_idf),
+terms AS MATERIALIZED (SELECT term, df, CASE WHEN r < 0 THEN {EPSILON} * mean ELSE r END AS idf FROM raw_idf, mean_idf),
 weights AS (SELECT id, tf.term, tf, doc_len,
   idf * ({K1} + 1.0) * tf / ({K1} * (1.0 - {B} + {B} * doc_len / avgdl) + tf) AS weight
   FROM tf JOIN terms ON tf.term = terms.term, tot)
