@@ -30,8 +30,6 @@ from rapproche.llm.words import Words, mix, slices
 from rapproche.session import stage
 
 ANCHOR = 20
-#: Anchors or factors of all documents together up to which they are broadcast to fetch or clean texts.
-BROADCAST_ITEMS = 300_000
 
 WINDOWS = "doc_id long, start int, high long, low int"
 FACTORS = T.ArrayType(
@@ -112,11 +110,9 @@ def posted_windows(texts: DataFrame, window: int) -> DataFrame:
     return texts.mapInArrow(run, WINDOWS)
 
 
-def _fetch(docs: DataFrame, rows: DataFrame, items: str, kind: str) -> DataFrame:
-    """``docs`` joined to staged ``rows`` (by ``_doc``), which are broadcast only if their arrays ``items`` hold little."""
-    held = rows.agg(F.sum(F.size(items) + 1)).first()[0] or 0
-    small = held <= BROADCAST_ITEMS
-    return docs.join(F.broadcast(rows) if small else rows, F.col("doc_id") == F.col("_doc"), kind)
+def _fetch(docs: DataFrame, rows: DataFrame, kind: str) -> DataFrame:
+    """``docs`` joined to staged ``rows`` (by ``_doc``), by a shuffle of both unless Spark's own bound allows a broadcast."""
+    return docs.join(rows, F.col("doc_id") == F.col("_doc"), kind)
 
 
 def parse(docs: DataFrame, window: int = 50) -> DataFrame:
@@ -136,10 +132,10 @@ def parse(docs: DataFrame, window: int = 50) -> DataFrame:
     per_doc = anchors.join(shared, "anchor").groupBy(F.col("doc_id").alias("_doc"))
     per_doc = stage(per_doc.agg(F.collect_set("anchor").alias("anchors")), "document-anchors")
 
-    texts = _fetch(docs.select(F.col("doc_id").cast("long"), "text"), per_doc, "anchors", "inner").select("doc_id", "text", "anchors")
+    texts = _fetch(docs.select(F.col("doc_id").cast("long"), "text"), per_doc, "inner").select("doc_id", "text", "anchors")
     posted = stage(posted_windows(texts, window), "windows")
     index = posted.groupBy("high", "low").agg(F.min("doc_id").alias("reference"), F.max("doc_id").alias("last"))
-    index = index.where("reference < last").drop("last")
+    index = stage(index.where("reference < last").drop("last"), "index")  # written, so that Spark splits a hot passage
     found = posted.join(index, ["high", "low"]).where("doc_id > reference").select("doc_id", "start", "reference")
     # the greedy parse: a factor ends where the next window is not found, or found in another reference
     order = W.partitionBy("doc_id").orderBy("start", "reference")
@@ -157,7 +153,7 @@ def parse(docs: DataFrame, window: int = 50) -> DataFrame:
 def remove_passages(docs: DataFrame, window: int = 50) -> DataFrame:
     """``docs`` with ``text`` reduced to the words outside all factors, joined by blanks, and the factors."""
     docs = docs.drop("n_words", "n_removed", "factors")
-    joined = _fetch(docs, parse(docs, window).withColumnRenamed("factors", "_factors"), "_factors", "left")
+    joined = _fetch(docs, parse(docs, window).withColumnRenamed("factors", "_factors"), "left")
     added = [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("factors", FACTORS)]
     names = [*docs.columns, "n_words", "n_removed", "factors"]
     place = docs.columns.index("text")
