@@ -153,6 +153,32 @@ def mean_vectors(spark, sf_dir):
     return _summary(embedding.document_vectors(docs, _number_vectors(spark, sf_dir), None, 64))
 
 
+def _components_sql(weight: str) -> str:
+    return f"""WITH {ORDER_CTES},
+  parts AS (SELECT id, generate_subscripts(v, 1) AS i, unnest(v) AS x, ({weight}) * tf / doc_len AS share
+    FROM weights JOIN vecs ON term = token),
+  dims AS (SELECT id, i, sum(CAST(x AS DOUBLE) * share) AS x FROM parts GROUP BY id, i)
+  SELECT id, string_agg(CAST(CAST(round(x * 10000) AS BIGINT) AS VARCHAR), ' ' ORDER BY i) AS components
+  FROM dims GROUP BY id"""
+
+
+def _components(vectors: DataFrame) -> DataFrame:
+    whole = F.transform("vector", lambda x: F.round(x * 10000).cast("long").cast("string"))
+    return vectors.select("id", F.array_join(whole, " ").alias("components"))
+
+
+@query("a4_vector_components", _components_sql("weight"))
+def weighted_components(spark, sf_dir):
+    """Every component of the weighted vectors, to four places."""
+    docs = _order_documents(spark, sf_dir)
+    return _components(embedding.document_vectors(docs, _number_vectors(spark, sf_dir), bm25.corpus_stats(docs), 64))
+
+
+@query("a5_vector_components", _components_sql("1"))
+def mean_components(spark, sf_dir):
+    return _components(embedding.document_vectors(_order_documents(spark, sf_dir), _number_vectors(spark, sf_dir), None, 64))
+
+
 # ------------------------------------------------------------------------------------------------ token vectors
 # The most frequent words of the documents, by rank, with the embedding of that number as their vector.
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
@@ -14,9 +15,12 @@ from pyspark.sql import functions as F
 from rapproche.config import EmbeddingConfig
 from rapproche.operators import bm25
 from rapproche.operators.ngrams import character_ngrams
-from rapproche.operators.skew import SkewLimits, fits_broadcast
+from rapproche.operators.skew import SkewLimits, fits_broadcast, lookup_join
 from rapproche.operators.skipgram import train_vectors
 
+#: Documents whose vectors are worked out at once.
+DOCUMENTS = 2000
+
 
 def vocabulary(docs: DataFrame, min_count: int = 1) -> DataFrame:
     """Tokens with at least ``min_count`` occurrences: (token, n)."""
@@ -56,7 +60,8 @@ def ngram_vectors(word_vectors: DataFrame, config: EmbeddingConfig = EmbeddingCo
 
 
 def token_vectors(
-    tokens: DataFrame, word_vectors: DataFrame, ngrams: DataFrame, config: EmbeddingConfig = EmbeddingConfig()
+    tokens: DataFrame, word_vectors: DataFrame, ngrams: DataFrame, config: EmbeddingConfig = EmbeddingConfig(),
+    limits: SkewLimits = SkewLimits(),
 ) -> DataFrame:
     """(token, vector) for every distinct ``token``: the mean of its own vector, if it has one, and of its n-grams'.
 
@@ -66,8 +71,10 @@ def token_vectors(
     own = wanted.join(word_vectors, "token").select("token", array_to_vector("vector").alias("_v"))
     grams = (
         wanted.select("token", F.explode(character_ngrams(F.col("token"), config.min_n, config.max_n)).alias("ngram"))
-        .join(ngrams, "ngram")
-        .select("token", array_to_vector("vector").alias("_v"))
+    )
+    table = ngrams.select(F.col("ngram").alias("_ngram"), "vector")  # an n-gram may be in a great many tokens
+    grams = lookup_join(grams, table, "ngram", "_ngram", 8 * config.vector_size + 64, limits=limits).select(
+        "token", array_to_vector("vector").alias("_v")
     )
     return (
         own.unionByName(grams)
@@ -109,26 +116,32 @@ def _vectors_in_place(docs: DataFrame, table: DataFrame, avgdl: float, size: int
     rows = table.toPandas()
     matrix = np.array(rows["vector"].tolist(), dtype=np.float64).reshape(len(rows), size)
     idf = rows["idf"].to_numpy(dtype=np.float64)
-    places = {token: i for i, token in enumerate(rows["token"])}
-    shared = docs.sparkSession.sparkContext.broadcast((places, matrix, idf))
+    shared = docs.sparkSession.sparkContext.broadcast((pa.array(rows["token"], pa.string()), matrix, idf))
     k1, b = bm25.K1, bm25.B
     weighted = not np.isnan(idf).all()
 
-    def means(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def means(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, vectors, weights = shared.value
         for batch in batches:
-            out = []
-            for tokens in batch["tokens"]:
-                length = len(tokens)
-                found, counts = np.unique([known[t] for t in tokens if t in known], return_counts=True)
-                if not len(found):
-                    out.append(np.zeros(size))
-                    continue
-                found = found.astype(np.int64)
-                factor = counts.astype(np.float64)
+            for first in range(0, batch.num_rows, DOCUMENTS):
+                part = batch.slice(first, DOCUMENTS)
+                lists = part.column(1)
+                length = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+                found = pc.index_in(lists.flatten(), known)
+                held = np.asarray(found.is_valid())
+                doc = np.repeat(np.arange(len(length)), length)[held]
+                # each document's distinct tokens, and how often it has them
+                pair, counts = np.unique(doc * len(known) + found.drop_null().to_numpy(), return_counts=True)
+                doc, token = np.divmod(pair, max(1, len(known)))
+                factor = counts / length[doc]
                 if weighted:
-                    factor = factor * weights[found] * (k1 + 1) * counts / (k1 * (1 - b + b * length / avgdl) + counts)
-                out.append(factor @ vectors[found] / length)
-            yield pd.DataFrame({"id": batch["id"], "vector": out})
-
-    return docs.select("id", "tokens").mapInPandas(means, "id long, vector array<double>")
+                    factor = factor * weights[token] * (k1 + 1) * counts / (k1 * (1 - b + b * length[doc] / avgdl) + counts)
+                out = np.zeros((len(length), size))
+                start = np.flatnonzero(np.append(True, doc[1:] != doc[:-1])[: len(doc)])
+                if len(start):
+                    out[doc[start]] = np.add.reduceat(vectors[token] * factor[:, None], start, axis=0)
+                offsets = pa.array(np.arange(len(out) + 1, dtype=np.int32) * size)
+                column = pa.ListArray.from_arrays(offsets, pa.array(out.reshape(-1)))
+                yield pa.RecordBatch.from_arrays([part.column(0), column], names=["id", "vector"])
+
+    return docs.select("id", "tokens").mapInArrow(means, "id long, vector array<double>")

@@ -401,3 +401,12 @@ def test_threshold_and_empty_sides(spark, crowded):
     assert neighbours.nearest(q.where("false"), r, config, 0.5).count() == 0
     zero = vectors_frame(spark, np.zeros((2, 16)), "reference_id")
     assert neighbours.nearest(q, zero, config).count() == 0
+
+
+def test_documents_without_tokens_have_the_zero_vector(spark):
+    docs = spark.createDataFrame([(1, None), (2, []), (3, ["x", "zz"]), (4, ["zz"])], "id long, tokens array<string>")
+    vectors = spark.createDataFrame([("x", [2.0, 4.0])], "token string, vector array<double>")
+    found = {r["id"]: r["vector"] for r in embedding.document_vectors(docs, vectors, None, 2).collect()}
+    assert found == {1: [0, 0], 2: [0, 0], 3: [1, 2], 4: [0, 0]}
+    none = embedding.document_vectors(docs, vectors.where("false"), None, 2).collect()
+    assert sorted(r["vector"] for r in none) == [[0, 0]] * 4
