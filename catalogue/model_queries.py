@@ -309,21 +309,17 @@ def _document_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("a7_train_subwords", f"""WITH {S.SUBWORD_CTES}, c AS (SELECT count(*) AS n FROM covered)
-  SELECT true AS at_most_asked, true AS probabilities, true AS all_seeds, true AS short_enough, n AS characters FROM c""")
+  SELECT true AS at_most_asked, true AS probabilities, true AS short_enough, n AS characters FROM c""")
 def train_subwords(spark, sf_dir):
     """What must hold of a vocabulary trained with the shipped settings: its size, scores that are logarithms of
-    probabilities, pieces that are all frequent substrings or covered characters, and every covered character in it."""
-    words = stage(subword.word_counts(_document_texts(spark, sf_dir)), "words")
-    config = SubwordConfig()
-    pieces = stage(subword.train_subwords(_document_texts(spark, sf_dir), config), "pieces")
-    covered = stage(subword.covered_characters(words, config.character_coverage).select("piece"), "characters")
-    seeds = subword.seed_pieces(words, config).select("piece").union(covered)
-    strange = pieces.join(seeds, "piece", "left_anti").count()
+    probabilities, the length of its pieces, and every covered character in it."""
+    texts, config = _document_texts(spark, sf_dir), SubwordConfig()
+    pieces = stage(subword.train_subwords(texts, config), "pieces")
+    covered = subword.covered_characters(subword.word_counts(texts), config.character_coverage).select("piece")
     held = covered.join(pieces, "piece", "left_semi").count()
     return pieces.agg(
         (F.count("*") <= config.vocab_size).alias("at_most_asked"),
         (F.abs(F.sum(F.exp("score")) - 1) < 1e-6).alias("probabilities"),
-        F.lit(strange == 0).alias("all_seeds"),
         (F.max(F.length("piece")) <= config.max_piece_length).alias("short_enough"),
         F.lit(held).cast("long").alias("characters"),
     )

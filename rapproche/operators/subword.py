@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -162,11 +162,19 @@ def _losses(pieces: DataFrame, trie: Broadcast, scores: np.ndarray, uses: np.nda
     return losses
 
 
+def _sent(spark: SparkSession, pieces: list[str]) -> tuple[DataFrame, Broadcast]:
+    """The pieces as rows (place, piece), and as a trie for every task."""
+    places = pa.table({"place": np.arange(len(pieces)), "piece": pa.array(pieces, pa.string())})
+    spread = spark.createDataFrame(places).repartition(spark.sparkContext.defaultParallelism)
+    return stage(spread, "piece-places"), spark.sparkContext.broadcast(Trie.of(pieces))
+
+
 def train_subwords(corpus: DataFrame, config: SubwordConfig = SubwordConfig()) -> DataFrame:
     """Train a vocabulary of at most ``vocab_size`` pieces on the ``text`` column: (piece, score).
 
     Expectation and maximisation alternate; between rounds the table shrinks by dropping the pieces least missed. All
-    covered characters stay pieces. The tasks get all pieces once, as a trie, and new scores in every step.
+    covered characters stay pieces. The tasks get the pieces as a trie, anew when half of them are gone, and new scores in
+    every step.
     """
     spark = corpus.sparkSession
     # Few bytes but much work per row: as many parts as there are cores, not as few as the bytes would fill.
@@ -178,9 +186,7 @@ def train_subwords(corpus: DataFrame, config: SubwordConfig = SubwordConfig()) -
     pieces, required = table["piece"].to_pylist(), table["required"].to_numpy()
     if not pieces:
         return spark.createDataFrame([], PIECE_SCHEMA)
-    places = pa.table({"place": np.arange(len(pieces)), "piece": table["piece"]})
-    rows = stage(spark.createDataFrame(places).repartition(spark.sparkContext.defaultParallelism), "piece-places")
-    trie = spark.sparkContext.broadcast(Trie.of(pieces))
+    rows, trie = _sent(spark, pieces)
     scores = _maximised(table["n"].to_numpy().astype(np.float64), required)
     target = max(config.vocab_size, int(required.sum()))
     while True:
@@ -196,6 +202,11 @@ def train_subwords(corpus: DataFrame, config: SubwordConfig = SubwordConfig()) -
         dropped = ~required
         dropped[kept] = False
         scores[dropped] = -np.inf
+        if 2 * int(np.isfinite(scores).sum()) < len(pieces):  # a smaller trie is walked faster
+            left = np.flatnonzero(np.isfinite(scores))
+            pieces, scores, required = [pieces[i] for i in left], scores[left], required[left]
+            trie.unpersist()
+            rows, trie = _sent(spark, pieces)
     kept = np.flatnonzero(np.isfinite(scores))
     return spark.createDataFrame([(pieces[i], float(scores[i])) for i in kept], PIECE_SCHEMA)
 
