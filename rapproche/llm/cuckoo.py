@@ -101,16 +101,28 @@ class CuckooFilter:
         return placed
 
     def remove(self, high: np.ndarray, low: np.ndarray) -> None:
-        """Removes keys that were added, one fingerprint each."""
+        """Removes keys that were added, one fingerprint each.
+
+        A fingerprint in one of its two buckets stands for any key of that fingerprint and pair of buckets, so the keys
+        of one pair take the slots that hold it in turn.
+        """
         mark = self._fingerprint(low)
-        waiting = np.ones(len(high), bool)
+        waiting = np.arange(len(high))
         for block in reversed(self.blocks):
-            first = self._first(high, block)
-            second = self._other(first, mark, block)
-            for i in np.flatnonzero(waiting):
-                for bucket in (first[i], second[i]):
-                    slot = np.flatnonzero(block[bucket] == mark[i])
-                    if len(slot):
-                        block[bucket, slot[0]] = 0
-                        waiting[i] = False
-                        break
+            first = self._first(high[waiting], block)
+            second = self._other(first, mark[waiting], block)
+            near, far, own = np.minimum(first, second), np.maximum(first, second), mark[waiting]
+            order = np.lexsort((own, near, far))
+            new = np.ones(len(order), bool)
+            for column in (own, near, far):
+                new[1:] &= column[order][1:] == column[order][:-1]
+            new[1:] = ~new[1:]
+            place = np.arange(len(order))
+            rank = np.empty(len(order), np.int64)
+            rank[order] = place - np.maximum.accumulate(np.where(new, place, 0))
+            slots = np.concatenate([block[near], block[far]], axis=1) == own[:, None]
+            slots[:, SLOTS:] &= (near != far)[:, None]
+            taken = slots & (np.cumsum(slots, axis=1) == rank[:, None] + 1)
+            key, slot = np.nonzero(taken)
+            block[np.where(slot < SLOTS, near[key], far[key]), slot % SLOTS] = 0
+            waiting = waiting[~taken.any(1)]

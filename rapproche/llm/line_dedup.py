@@ -1,6 +1,8 @@
 """Line deduplication with an index that documents can enter and leave.
 
-The index is a folder of tables, one generation per change:
+The index is a folder of tables, one generation per change, and outlives the session: the newest generation with a
+manifest, which is written last, is the index. One that was not finished is not seen, and an earlier one stays whole
+until somebody deletes it. One writer at a time.
 
 * ``refs``: which document holds which line key, exact;
 * ``counts``: documents per key and the largest id among them, exact, of keys that two documents hold (a key in ``refs``
@@ -10,7 +12,8 @@ The index is a folder of tables, one generation per change:
 A key is 128 bits of a line that is stripped of white space, with A-Z in lower case; keys under ``min_chars`` code
 points are not counted. Asking for a batch's repeated lines probes the filters with the batch's keys, and only those that
 pass are looked up in the exact counts, so filters decide nothing by themselves. Deleting documents takes
-their references away, and keys that fall below ``min_docs`` leave their filter.
+their references away, and keys that fall below ``min_docs`` leave their filter. When references have outgrown the shards
+twofold, the filters are built again over more shards.
 
 Null text is one empty line. A document without id adds nothing to the index and keeps its lines. Rows that repeat an id
 are one document: their keys are counted once, each row is cleaned. Other columns are passed on; ``text`` is replaced,
@@ -19,15 +22,18 @@ and so are columns named ``n_lines`` and ``n_dropped``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rapproche.llm.batches import free_prefix
 from rapproche.llm.cuckoo import CuckooFilter
 
 WHITE = " \t\n\v\f\r"
@@ -39,6 +45,7 @@ ASKED_KEYS = 200_000
 REFS = "high long, low long, doc_id long"
 COUNTS = "high long, low long, n_docs long, last_doc long"
 FILTERS = "shard long, blocks array<binary>"
+MANIFEST = "generation long, name string, shards long, min_chars int, min_docs int"
 ROWS = 1000
 
 
@@ -90,17 +97,35 @@ def asked_keys(docs: DataFrame, min_chars: int = 20) -> DataFrame:
 
 
 class LineIndex:
-    """The index in ``folder``, a place that all executors share; see the module's text."""
+    """The index in ``folder``, a place that all executors share; see the module's text.
+
+    A folder that holds an index is opened, with the settings it was made with; others raise ValueError.
+    """
 
     def __init__(self, spark: SparkSession, folder: str, min_chars: int = 20, min_docs: int = 3):
-        self.spark, self.folder, self.min_chars, self.min_docs = spark, folder, min_chars, min_docs
+        self.spark, self.folder, self.min_chars, self.min_docs = spark, folder.rstrip("/"), min_chars, min_docs
         self.generation = 0
         self.shards = 0
+        self.name = ""
+        newest = self._manifests().orderBy(F.desc("generation")).first()
+        if newest:
+            if (newest["min_chars"], newest["min_docs"]) != (min_chars, min_docs):
+                raise ValueError(f"the index in {folder} has min_chars={newest['min_chars']}, min_docs={newest['min_docs']}")
+            self.generation, self.shards, self.name = newest["generation"], newest["shards"], newest["name"]
+
+    def _manifests(self) -> DataFrame:
+        reader = self.spark.read.schema(MANIFEST).option("recursiveFileLookup", "true")
+        try:
+            return reader.parquet(f"{self.folder}/manifests")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], MANIFEST)
 
     def _table(self, name: str, schema: str) -> DataFrame:
         if not self.generation:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.folder}/{self.generation}/{name}")
+        return self.spark.read.schema(schema).parquet(f"{self.folder}/{self.name}/{name}")
 
     @property
     def refs(self) -> DataFrame:
@@ -117,29 +142,31 @@ class LineIndex:
     def insert(self, docs: DataFrame) -> None:
         """Adds documents; what the index already holds of them is not counted again."""
         new = line_keys(docs, self.min_chars).distinct()
-        old = self.counts
-        if not self.generation:
-            refs = self._write("refs", new)
-            counts = self._write("counts", self._count(refs))
-            self.shards = max(1, -(-refs.count() // SHARD_KEYS))
-        else:
-            refs = self._write("refs", self.refs.union(new).distinct())
-            counts = self._write("counts", self._count(refs))
-        self._write("filters", self._filters(old, counts))
-        self.generation += 1
+        self._change(self.refs.union(new).distinct() if self.generation else new)
 
     def delete(self, ids: DataFrame) -> None:
         """Takes out the documents whose ``doc_id`` is in ``ids``."""
-        old = self.counts
-        refs = self._write("refs", self.refs.join(ids.select("doc_id").distinct(), "doc_id", "left_anti"))
-        counts = self._write("counts", self._count(refs))
-        self._write("filters", self._filters(old, counts))
-        self.generation += 1
-
-    def _write(self, name: str, df: DataFrame) -> DataFrame:
-        """Writes a table of the next generation; the present one stays as it is until that is whole."""
-        schema = {"refs": REFS, "counts": COUNTS, "filters": FILTERS}[name]
-        path = f"{self.folder}/{self.generation + 1}/{name}"
+        self._change(self.refs.join(ids.select("doc_id").distinct(), "doc_id", "left_anti"))
+
+    def _change(self, refs: DataFrame) -> None:
+        """Writes the next generation, its manifest last."""
+        name = f"generation-{self.generation + 1}-{uuid.uuid4().hex}"
+        refs = self._write(name, "refs", REFS, refs)
+        counts = self._write(name, "counts", COUNTS, self._count(refs))
+        wanted = max(1, -(-refs.count() // SHARD_KEYS))
+        afresh = not self.generation or wanted > 2 * self.shards
+        if afresh:
+            self.shards = wanted
+        self._write(name, "filters", FILTERS, self._filters(None if afresh else self.counts, counts))
+        entry = self.spark.range(1).select(
+            F.lit(self.generation + 1).cast("long").alias("generation"), F.lit(name).alias("name"),
+            F.lit(self.shards).cast("long").alias("shards"), F.lit(self.min_chars).alias("min_chars"), F.lit(self.min_docs).alias("min_docs"),
+        )
+        entry.coalesce(1).write.parquet(f"{self.folder}/manifests/{name}")
+        self.generation, self.name = self.generation + 1, name
+
+    def _write(self, generation: str, name: str, schema: str, df: DataFrame) -> DataFrame:
+        path = f"{self.folder}/{generation}/{name}"
         df.select(*T._parse_datatype_string(schema).names).write.parquet(path)
         return self.spark.read.schema(schema).parquet(path)
 
@@ -153,12 +180,16 @@ class LineIndex:
     def _repeated(self, counts: DataFrame) -> DataFrame:
         return counts.where(F.col("n_docs") >= self.min_docs)
 
-    def _filters(self, old: DataFrame, new: DataFrame) -> DataFrame:
-        """The filters, with keys that have come to ``min_docs`` added and those that fell below it removed."""
+    def _filters(self, old: DataFrame | None, new: DataFrame) -> DataFrame:
+        """The filters, with keys that have come to ``min_docs`` added and those that fell below it removed.
+
+        Without ``old`` counts they are built from all keys.
+        """
         is_new = self._repeated(new).select("high", "low", F.lit(1).alias("step"))
-        if not self.generation:
-            changes = is_new
+        if old is None:
+            before, changes = self.spark.createDataFrame([], FILTERS), is_new
         else:
+            before = self.filters
             was = self._repeated(old).select("high", "low", F.lit(-1).alias("step"))
             changes = is_new.union(was).groupBy("high", "low").agg(F.sum("step").alias("step")).where("step != 0")
 
@@ -173,7 +204,7 @@ class LineIndex:
             )
 
         return (
-            self.filters.groupBy("shard")
+            before.groupBy("shard")
             .cogroup(changes.select(self._shard(), "high", "low", "step").groupBy("shard"))
             .applyInArrow(apply, FILTERS)
         )
@@ -199,16 +230,17 @@ class LineIndex:
 
     def clean(self, docs: DataFrame) -> DataFrame:
         """``docs`` without the lines that repeat, but for those in the largest document that holds them."""
+        docs = docs.drop("n_lines", "n_dropped")
+        own = free_prefix(docs)
         lines = line_keys(docs, self.min_chars)
         last = self.repeated(asked_keys(docs, self.min_chars))
         drops = (
             lines.join(last, ["high", "low"])
             .where("doc_id < last_doc")
-            .groupBy(F.col("doc_id").alias("_doc"))
-            .agg(F.collect_set(F.struct("high", "low")).alias("_drop"))
+            .groupBy(F.col("doc_id").alias(f"{own}doc"))
+            .agg(F.collect_set(F.struct("high", "low")).alias(f"{own}drop"))
         )
-        docs = docs.drop("n_lines", "n_dropped")
-        joined = docs.join(drops, F.col("doc_id") == F.col("_doc"), "left").drop("_doc")
+        joined = docs.join(drops, F.col("doc_id") == F.col(f"{own}doc"), "left").drop(f"{own}doc")
         added = [T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())]
         min_chars = self.min_chars
 

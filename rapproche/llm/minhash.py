@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rapproche.llm.batches import arrow_rows
+from rapproche.llm.batches import arrow_rows, free_prefix
 from rapproche.llm.components import components
 from rapproche.llm.words import Words, mix, slices
 from rapproche.session import stage
@@ -317,7 +317,8 @@ def keep_one(docs: DataFrame, size: int = 5, threshold: int = 80) -> DataFrame:
 
     Rows that repeat an id stay or go together.
     """
-    gone = components_of(docs, size, threshold).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
+    own = f"{free_prefix(docs)}gone"
+    gone = components_of(docs, size, threshold).where("not kept").select(F.col("doc_id").alias(own)).distinct()
     gone = stage(gone, "near-duplicates")
     small = gone.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return docs.join(F.broadcast(gone) if small else gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    return docs.join(F.broadcast(gone) if small else gone, F.col("doc_id") == F.col(own), "left_anti")

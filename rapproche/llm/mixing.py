@@ -1,9 +1,12 @@
 """Mixing of sources to target weights by iterative proportional fitting, in built-in functions only.
 
 Documents are summed into cells of source, language and topic; a cell's weight is its number of words. Fitting scales
-the cells to one target marginal after the other until all hold. The ratio of a cell's fitted to its own weight is the
-calibrated weight of its documents; with a factor that is fixed by the share of words to keep, capped at one, it becomes
-the probability with which each of them is sampled. The draw is a hash of the id, so a recomputed task draws the same.
+the cells to one target marginal after the other, in rounds of ``SWEEPS`` sweeps, until no category's weight is further
+than ``BOUND`` from its target. Targets that no weights on the given cells can meet (a source that has one language only,
+and so on) stop coming nearer; then fitting stops and warns with the distance left. The ratio of a cell's fitted to its
+own weight is the calibrated weight of its documents; with a factor that is fixed by the share of words to keep, capped
+at one, it becomes the probability with which each of them is sampled. The draw is a hash of the id, so a recomputed
+task draws the same.
 
 Targets are shares per category, given as tables, or by default the corpus's own shares to the power ``TEMPER``. A
 category without a target gets no weight. Cells are as many as combinations of categories that occur, not as rows; the
@@ -16,16 +19,23 @@ columns named like the results are replaced.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from rapproche.llm.batches import free_prefix
 from rapproche.session import stage
 
 WORD = r"[^\x20\x09-\x0D]+"
 DIMENSIONS = ("source", "lang", "topic")
 TEMPER = {"source": 0.5, "lang": 0.7, "topic": 0.7}
+#: Sweeps of a round; after each round the marginals are compared with their targets.
 SWEEPS = 10
+BOUND = 1e-6
+#: Fitting has stalled if a round leaves more than this part of the distance.
+STALLED = 0.9
 #: Sweeps between two written tables.
 SWEEPS_A_STAGE = 5
 #: Cells up to which their probabilities are broadcast to the documents.
@@ -76,17 +86,35 @@ def _targets(cells: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
     return cells.drop(*[f"m_{n}" for n in DIMENSIONS])
 
 
+def marginal_distance(fitted: DataFrame) -> float:
+    """The largest difference of a category's weight from its target, over all dimensions."""
+    worst = [
+        fitted.groupBy(n).agg(F.abs(F.sum("w") - F.first(f"t_{n}")).alias("off"), F.sum("own").alias("own")).select("off", "own")
+        for n in DIMENSIONS
+    ]
+    every = worst[0].union(worst[1]).union(worst[2])
+    return float(every.where("own > 0").agg(F.max("off")).first()[0] or 0.0)
+
+
 def rake(cells: DataFrame, targets: dict[str, DataFrame] | None = None, sweeps: int = SWEEPS) -> DataFrame:
     """``cells`` (dimensions, tokens) with ``ratio``, fitted over own weight."""
     total = float(cells.agg(F.sum("tokens")).first()[0] or 0)
     cells = cells.withColumn("w", F.col("tokens") / F.lit(total or 1.0))
     fitted = _targets(cells, targets or {}).withColumn("own", F.col("w"))
-    for sweep in range(sweeps):
-        for name in DIMENSIONS:
-            mass = F.sum("w").over(W.partitionBy(name))
-            fitted = fitted.withColumn("w", F.when(mass > 0, F.col("w") * F.col(f"t_{name}") / mass).otherwise(0.0))
-        if (sweep + 1) % SWEEPS_A_STAGE == 0 or sweep == sweeps - 1:
-            fitted = stage(fitted, "cells")
+    distance = None
+    while True:
+        for sweep in range(sweeps):
+            for name in DIMENSIONS:
+                mass = F.sum("w").over(W.partitionBy(name))
+                fitted = fitted.withColumn("w", F.when(mass > 0, F.col("w") * F.col(f"t_{name}") / mass).otherwise(0.0))
+            if (sweep + 1) % SWEEPS_A_STAGE == 0 or sweep == sweeps - 1:
+                fitted = stage(fitted, "cells")
+        before, distance = distance, marginal_distance(fitted)
+        if distance <= BOUND:
+            break
+        if before is not None and not distance <= STALLED * before:
+            warnings.warn(f"targets conflict: a category's weight is {distance:.2g} from its target", stacklevel=2)
+            break
     return fitted.withColumn("ratio", F.when(F.col("own") > 0, F.col("w") / F.col("own")).otherwise(1.0))
 
 
@@ -120,13 +148,14 @@ def mix_sources(
 ) -> DataFrame:
     """``rows`` of ``with_words`` with ``probability`` and ``kept``."""
     rows = rows.drop("probability", "kept")
+    own = free_prefix(rows)
     cells = stage(rows.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("tokens")), "cell-words")
     found = stage(calibrate(rake(cells, targets), share).select(*DIMENSIONS, "probability"), "probabilities")
-    found = found.select(*[F.col(n).alias(f"_{n}") for n in DIMENSIONS], "probability")
+    found = found.select(*[F.col(n).alias(f"{own}{n}") for n in DIMENSIONS], "probability")
     small = found.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    same = [F.col(n).eqNullSafe(F.col(f"_{n}")) for n in DIMENSIONS]
+    same = [F.col(n).eqNullSafe(F.col(f"{own}{n}")) for n in DIMENSIONS]
     joined = rows.join(F.broadcast(found) if small else found, same, "left")
-    return joined.drop(*[f"_{n}" for n in DIMENSIONS]).withColumn("kept", draw(seed) < F.col("probability"))
+    return joined.drop(*[f"{own}{n}" for n in DIMENSIONS]).withColumn("kept", draw(seed) < F.col("probability"))
 
 
 def digests(docs: DataFrame) -> DataFrame:
@@ -139,6 +168,7 @@ def digests(docs: DataFrame) -> DataFrame:
 
 def sample(docs: DataFrame, share: float = 0.5, seed: int = 0) -> DataFrame:
     """The sampled rows of ``docs`` with its columns."""
-    clash = {c: f"_own_{c}" for c in ("topic", "n_tokens", "probability", "kept") if c in docs.columns}
+    own = free_prefix(docs)
+    clash = {c: f"{own}{c}" for c in docs.columns if c.lower() in ("topic", "n_tokens", "probability", "kept")}
     kept = mix_sources(with_words(docs.withColumnsRenamed(clash)), share, seed=seed).where("kept")
     return kept.select(*[F.col(clash.get(c, c)).alias(c) for c in docs.columns])

@@ -1,13 +1,17 @@
 """Quality rules whose cutoffs carry a bound on the share of good documents they reject.
 
-Each rule compares one measure of a text with a cutoff. Its cutoffs are a fixed list from lenient to strict. For each
-stratum (by default the language) the labelled documents that the base rule passes are the holdout: with ``n`` good ones
-of which ``k`` fall to a cutoff, the cutoff holds if a rejection rate of ``risk`` would give ``k`` or fewer with
-probability ``error`` at most (the exact binomial bound). Within a rule cutoffs are tested in order up to the first that
-does not hold, which needs no correction; over strata and rules both ``risk`` and ``error`` are divided (Bonferroni).
-So with probability ``1 - error`` no stratum loses more than ``risk`` of its good documents to the rules. Of a rule's
-valid cutoffs the one with the best balance of bad over good rejections is used, or none if it has no gain. A stratum
-with too few labelled documents has no cutoffs, and its documents are judged by the base rule alone.
+Each rule compares one measure of a text with a cutoff; its cutoffs are a fixed list from lenient to strict. For each
+stratum (by default the language) the labelled documents that the base rule passes are dealt by a hash of their id: one in
+``TRAINING`` is used to choose, the others are the holdout. On the first part a path of cutoff vectors is chosen, which
+leads through all rules from lenient to strict to the vector that rejects most bad documents, each good one counted
+``WEIGHT`` times against it. On the holdout the path is tested in order: with ``n`` good documents of which a vector
+rejects ``k`` by any rule, it holds if a rejection rate of ``risk`` would give ``k`` or fewer with a probability of at
+most the stratum's share of ``error`` (the exact binomial bound). The last vector before the first that does not hold is
+used. As the order is fixed before the holdout is seen and rejection by all rules is tested at once, neither steps nor
+rules need a correction; over strata the error is spent by Holm's rule: each path has an equal share, and paths that
+hold whole pass theirs on. So with probability ``1 - error`` no stratum loses more than ``risk`` of its good documents
+to the rules. A stratum with too few labelled documents has no cutoffs, and its documents are judged by the base rule
+alone.
 
 Null text has no words. A null stratum is a stratum of its own. Labels of a null or unknown document are ignored; a
 document with several labels is good if one of them says so. Rows that repeat an id are judged one by one. Other
@@ -27,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rapproche.llm.batches import free_prefix
 from rapproche.llm.words import Words, mix, slices
 from rapproche.session import stage
 
@@ -35,6 +40,8 @@ SYMBOL[list(b"#*$%&|<>")] = True
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines")
 #: A good document rejected counts as so many bad ones.
 WEIGHT = 10
+#: One labelled document in so many serves to choose the path of cutoffs.
+TRAINING = 3
 
 
 @dataclass(frozen=True)
@@ -143,47 +150,104 @@ def binomial_cdf(k: int, n: int, p: float) -> float:
     return math.exp(min(0.0, log + math.log(total)))
 
 
+def _level(rule: Rule) -> Column:
+    """How many of the rule's cutoffs, lenient ones first, it takes to reject the row; one more than all if none does."""
+    steps = [F.when(_value(rule) > cutoff, i + 1) for i, cutoff in enumerate(rule.cutoffs)]
+    return F.coalesce(*steps, F.lit(len(rule.cutoffs) + 1)).cast("int")
+
+
+def _rejected(levels: np.ndarray, vector: np.ndarray) -> np.ndarray:
+    """Which rows of ``levels`` a vector, the number of cutoffs in use per rule, rejects."""
+    return (levels <= vector).any(1)
+
+
+def choose_path(levels: np.ndarray, good: np.ndarray, rows: np.ndarray, most: np.ndarray) -> list[np.ndarray]:
+    """Cutoff vectors from lenient to strict, chosen on training documents (``rows`` of each level and label).
+
+    The last vector is found greedily: the rule and cutoff with the largest gain is taken until none gains. The path
+    leads to it in rounds that tighten each rule by one cutoff.
+    """
+    weight = np.where(good, -WEIGHT, 1) * rows
+    last = np.zeros(len(most), np.int64)
+    while True:
+        left = ~_rejected(levels, last)
+        best, gain = None, 0
+        for rule, cutoffs in enumerate(most):
+            for used in range(last[rule] + 1, cutoffs + 1):
+                more = int(weight[left & (levels[:, rule] <= used)].sum())
+                if more > gain:
+                    best, gain = (rule, used), more
+        if best is None:
+            break
+        last[best[0]] = best[1]
+    path, now = [], np.zeros(len(most), np.int64)
+    for used in range(1, int(last.max(initial=0)) + 1):
+        for rule in np.flatnonzero(last >= used):
+            now = now.copy()
+            now[rule] = used
+            path.append(now)
+    return path
+
+
+def path_chances(path: list[np.ndarray], levels: np.ndarray, good: np.ndarray, rows: np.ndarray, risk: float) -> list[float]:
+    """For each vector of the path, the chance of so few good documents rejected, by it or one before, at a rate of ``risk``."""
+    n = int(rows[good].sum())
+    chances = [binomial_cdf(int(rows[good & _rejected(levels, v)].sum()), n, risk) if n else 1.0 for v in path]
+    return np.maximum.accumulate(chances).tolist() if chances else []
+
+
 def fit_cutoffs(
     measured: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = 0.02, error: float = 0.05,
     rules: tuple[Rule, ...] = RULES,
 ) -> DataFrame:
-    """Valid cutoffs by stratum: a row (_stratum, _known, cutoffs), with a null for a rule that is not used."""
+    """Valid cutoffs by stratum: a row (_stratum, cutoffs), with a null for a rule that is not used. A stratum without a path has no row."""
     good = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(
         (F.max("quality") > 0).alias("_good")
     )
-    held = measured.where(~base_failed()).select("doc_id", F.col(stratum).alias("_stratum"), *MEASURES)
-    held = held.join(good, "doc_id")
-    counts = [
-        F.count(F.when((_value(rule) > c) & (F.col("_good") == side), 1)).alias(f"{rule.name}_{i}_{side}")
-        for rule in rules
-        for i, c in enumerate(rule.cutoffs)
-        for side in (True, False)
-    ]
-    total = F.count(F.when(F.col("_good"), 1)).alias("n")
-    # one row of counts per stratum; how many strata there are is counted too, for the correction
-    table = stage(held.groupBy("_stratum").agg(total, *counts), "cutoff-counts")
-    tests = max(1, table.count()) * len(rules)
-
-    def choose(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            out = []
-            for row in frame.to_dict("records"):
-                used = []
-                for rule in rules:
-                    best, gain = None, 0
-                    for i, cutoff in enumerate(rule.cutoffs):
-                        wrong, right = row[f"{rule.name}_{i}_True"], row[f"{rule.name}_{i}_False"]
-                        if binomial_cdf(wrong, row["n"], risk / len(rules)) > error / tests:
-                            break
-                        if right - WEIGHT * wrong > gain:
-                            best, gain = cutoff, right - WEIGHT * wrong
-                    used.append(best)
-                out.append(used)
-            yield pd.DataFrame({"_stratum": frame["_stratum"], "cutoffs": out}, columns=["_stratum", "cutoffs"])
+    names = [f"level_{i}" for i in range(len(rules))]
+    held = measured.where(~base_failed()).select(
+        "doc_id", F.col(stratum).alias("_stratum"), *[_level(r).alias(n) for r, n in zip(rules, names, strict=True)]
+    )
+    training = (F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(TRAINING)) == 0).alias("training")
+    # Rows per stratum, label and levels: however many documents are labelled, a stratum has no more rows than
+    # there are combinations of levels.
+    table = held.join(good, "doc_id").groupBy("_stratum", training, F.col("_good").alias("good"), *names).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    most = np.array([len(r.cutoffs) for r in rules])
+
+    def plan(frame: pd.DataFrame) -> pd.DataFrame:
+        levels, is_good = frame[names].to_numpy(np.int64), frame["good"].to_numpy(bool)
+        rows, train = frame["n"].to_numpy(np.int64), frame["training"].to_numpy(bool)
+        path = choose_path(levels[train], is_good[train], rows[train], most)
+        chances = path_chances(path, levels[~train], is_good[~train], rows[~train], risk)
+        vectors = [[float(r.cutoffs[k - 1]) if k else None for r, k in zip(rules, v, strict=True)] for v in path]
+        return pd.DataFrame({"_stratum": frame["_stratum"].iloc[:1], "vectors": [vectors], "chances": [chances]})
 
     kind = measured.schema[stratum].dataType
-    schema = T.StructType([T.StructField("_stratum", kind), T.StructField("cutoffs", T.ArrayType(T.DoubleType()))])
-    return table.mapInPandas(choose, schema)
+    numbers = T.ArrayType(T.DoubleType())
+    schema = T.StructType(
+        [T.StructField("_stratum", kind), T.StructField("vectors", T.ArrayType(numbers)), T.StructField("chances", numbers)]
+    )
+    plans = stage(table.groupBy("_stratum").applyInPandas(plan, schema).where(F.size("chances") > 0), "cutoff-paths")
+    level = holm_level(plans.select(F.element_at("chances", -1).alias("chance")), error)
+    valid = F.size(F.filter("chances", lambda p: p <= level))  # chances never fall along a path
+    nothing = F.array(*[F.lit(None).cast("double") for _ in rules])
+    return plans.select("_stratum", F.when(valid > 0, F.get("vectors", valid - 1)).otherwise(nothing).alias("cutoffs"))
+
+
+def holm_level(tests: DataFrame, error: float) -> float:
+    """The error each unfinished path may spend: ``error`` over the number of paths, without those that hold whole.
+
+    ``tests`` has the ``chance`` of each path's last vector. A path that holds whole passes its share on to the others.
+    """
+    total = tests.count()
+    done, level = 0, error / max(1, total)
+    while True:
+        now = tests.where(F.col("chance") <= level).count()
+        if now == done:
+            return level
+        done, level = now, error / max(1, total - now)
 
 
 def judge(
@@ -191,16 +255,16 @@ def judge(
 ) -> DataFrame:
     """``measured`` with ``base_failed``, ``failed`` (names of the rules that reject) and ``kept``."""
     measured = measured.drop("base_failed", "failed", "kept")
-    joined = measured.join(cutoffs, F.col(stratum).eqNullSafe(F.col("_stratum")), "left")
-    hits = [
-        F.when(_value(rule) > F.col("cutoffs")[i], F.lit(rule.name)) for i, rule in enumerate(rules)
-    ]
+    own = free_prefix(measured)
+    cutoffs = cutoffs.select(F.col("_stratum").alias(f"{own}stratum"), F.col("cutoffs").alias(f"{own}cutoffs"))
+    joined = measured.join(cutoffs, F.col(stratum).eqNullSafe(F.col(f"{own}stratum")), "left")
+    hits = [F.when(_value(rule) > F.col(f"{own}cutoffs")[i], F.lit(rule.name)) for i, rule in enumerate(rules)]
     failed = F.filter(F.array(*hits), lambda name: name.isNotNull())
     return (
         joined.withColumn("base_failed", base_failed())
         .withColumn("failed", failed)
         .withColumn("kept", ~F.col("base_failed") & (F.size("failed") == 0))
-        .drop("_stratum", "cutoffs")
+        .drop(f"{own}stratum", f"{own}cutoffs")
     )
 
 
@@ -215,7 +279,8 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that pass, with its columns. Labelled texts are measured first to fit the cutoffs."""
     known = docs.select("doc_id", "text", "lang").join(labels.select("doc_id").distinct(), "doc_id", "left_semi")
     cutoffs = stage(fit_cutoffs(measure(known).drop("text"), labels), "cutoffs")
-    names = [c for c in docs.columns if c not in {*MEASURES, "base_failed", "failed", "kept"}]
-    own = {c: F.col(c).alias(f"_own_{c}") for c in docs.columns if c not in names}
-    judged = judge(measure(docs.select(*names, *own.values())), cutoffs).where("kept")
-    return judged.select(*[F.col(f"_own_{c}").alias(c) if c in own else F.col(c) for c in docs.columns])
+    prefix = free_prefix(docs)
+    taken = {*MEASURES, "base_failed", "failed", "kept"}
+    own = {c: f"{prefix}{c}" for c in docs.columns if c.lower() in taken}
+    judged = judge(measure(docs.withColumnsRenamed(own)), cutoffs).where("kept")
+    return judged.select(*[F.col(own.get(c, c)).alias(c) for c in docs.columns])

@@ -18,6 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rapproche.llm.batches import free_prefix
 from rapproche.session import stage
 
 #: Alternatives a pattern's literal prefix may branch into before it is turned into trigrams.
@@ -229,17 +230,18 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """``docs`` with ``spans``: (start, end, kind) of every secret by start, then order of the rules; ends exclusive."""
     queries = {r.kind: q for r in rules if (q := trigram_query(r.pattern)) != ANY}
     rows = docs.drop("spans")
+    own = free_prefix(rows)
     if queries:
         trigrams = sorted({t for q in queries.values() for alternative in q for t in alternative})
         index = stage(trigram_index(docs.select("doc_id", "text"), trigrams), "trigrams")
         found = stage(candidates(index, list(queries.values())), "candidates")
         small = found.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-        found = found.withColumnRenamed("doc_id", "_doc")
+        found = found.select(F.col("doc_id").alias(f"{own}doc"), F.col("hits").alias(f"{own}hits"))
         rows = rows.join(
-            F.broadcast(found) if small else found.hint("shuffle_hash"), F.col("doc_id") == F.col("_doc"), "left"
+            F.broadcast(found) if small else found.hint("shuffle_hash"), F.col("doc_id") == F.col(f"{own}doc"), "left"
         )
     asked = {
-        kind: F.col("doc_id").isNull() | F.coalesce(F.col("hits")[i], F.lit(False)) for i, kind in enumerate(queries)
+        kind: F.col("doc_id").isNull() | F.coalesce(F.col(f"{own}hits")[i], F.lit(False)) for i, kind in enumerate(queries)
     }
     text = F.col("text")
     lengths: dict[str, Column] = {}
@@ -251,7 +253,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
             ("value", F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group))),
         ):
             if name != "value" or rule.group:
-                lengths[f"_{rule.kind}_{name}"] = F.when(wanted, _lengths(strings))
+                lengths[f"{own}{rule.kind}_{name}"] = F.when(wanted, _lengths(strings))
     rows = rows.withColumns(lengths)
     none = F.array().cast("array<struct<start:bigint,number:int,end:bigint>>")
     every = [
@@ -259,9 +261,9 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
             _spans(
                 rule,
                 number,
-                F.col(f"_{rule.kind}_gaps"),
-                F.col(f"_{rule.kind}_match"),
-                F.col(f"_{rule.kind}_{'value' if rule.group else 'match'}"),
+                F.col(f"{own}{rule.kind}_gaps"),
+                F.col(f"{own}{rule.kind}_match"),
+                F.col(f"{own}{rule.kind}_{'value' if rule.group else 'match'}"),
             ),
             none,
         )
@@ -272,7 +274,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
         F.array_sort(F.concat(*every)),
         lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), kinds[s["number"]].alias("kind")),
     )
-    extra = [*lengths, *(["_doc", "hits"] if queries else [])]
+    extra = [*lengths, *([f"{own}doc", f"{own}hits"] if queries else [])]
     return rows.withColumn("spans", spans).drop(*extra)
 
 

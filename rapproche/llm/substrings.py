@@ -26,6 +26,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rapproche.llm.batches import free_prefix
 from rapproche.llm.words import Words, mix, slices
 from rapproche.session import stage
 
@@ -110,11 +111,6 @@ def posted_windows(texts: DataFrame, window: int) -> DataFrame:
     return texts.mapInArrow(run, WINDOWS)
 
 
-def _fetch(docs: DataFrame, rows: DataFrame, kind: str) -> DataFrame:
-    """``docs`` joined to staged ``rows`` (by ``_doc``), by a shuffle of both unless Spark's own bound allows a broadcast."""
-    return docs.join(rows, F.col("doc_id") == F.col("_doc"), kind)
-
-
 def parse(docs: DataFrame, window: int = 50) -> DataFrame:
     """Factors per document: (_doc, factors), an array of (start, end, reference) in order.
 
@@ -132,7 +128,7 @@ def parse(docs: DataFrame, window: int = 50) -> DataFrame:
     per_doc = anchors.join(shared, "anchor").groupBy(F.col("doc_id").alias("_doc"))
     per_doc = stage(per_doc.agg(F.collect_set("anchor").alias("anchors")), "document-anchors")
 
-    texts = _fetch(docs.select(F.col("doc_id").cast("long"), "text"), per_doc, "inner").select("doc_id", "text", "anchors")
+    texts = docs.select(F.col("doc_id").cast("long"), "text").join(per_doc, F.col("doc_id") == F.col("_doc")).select("doc_id", "text", "anchors")
     posted = stage(posted_windows(texts, window), "windows")
     index = posted.groupBy("high", "low").agg(F.min("doc_id").alias("reference"), F.max("doc_id").alias("last"))
     index = stage(index.where("reference < last").drop("last"), "index")  # written, so that Spark splits a hot passage
@@ -153,7 +149,9 @@ def parse(docs: DataFrame, window: int = 50) -> DataFrame:
 def remove_passages(docs: DataFrame, window: int = 50) -> DataFrame:
     """``docs`` with ``text`` reduced to the words outside all factors, joined by blanks, and the factors."""
     docs = docs.drop("n_words", "n_removed", "factors")
-    joined = _fetch(docs, parse(docs, window).withColumnRenamed("factors", "_factors"), "left")
+    own = free_prefix(docs)
+    found = parse(docs, window).select(F.col("_doc").alias(f"{own}doc"), F.col("factors").alias(f"{own}factors"))
+    joined = docs.join(found, F.col("doc_id") == F.col(f"{own}doc"), "left")
     added = [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("factors", FACTORS)]
     names = [*docs.columns, "n_words", "n_removed", "factors"]
     place = docs.columns.index("text")
@@ -188,7 +186,7 @@ def remove_passages(docs: DataFrame, window: int = 50) -> DataFrame:
                 columns += [pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(spans, kind)]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    joined = joined.select(*[joined[c] for c in docs.columns], "_factors")
+    joined = joined.select(*docs.columns, f"{own}factors")
     return joined.mapInArrow(run, T.StructType([*docs.schema.fields, *added]))
 
 

@@ -32,6 +32,7 @@ from rapproche.session import scratch_path
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 FOLD = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+LABELS = "doc_id long, quality int, toxic int"
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
 LONG = " ".join(f"word{i % 997}" for i in range(60_000))
 PASSAGE = " ".join(f"passage{i}" for i in range(60))
@@ -358,6 +359,32 @@ def test_line_dedup_is_reversible(spark):
     assert state(everyone) == want
 
 
+def test_line_index_is_opened_again(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "SHARD_KEYS", 40)
+    texts = some_texts(120, 14)
+    rows = [(i, t, "en", "a", 0) for i, t in enumerate(texts)]
+    folder = scratch_path(spark, "lines")
+    first = line_dedup.LineIndex(spark, folder)
+    assert first.generation == 0 and first.refs.count() == 0
+    first.insert(docs_of(spark, rows[:20]))
+    spark.range(1).write.parquet(f"{folder}/generation-2-unfinished/refs")  # a change that was not finished
+    for part in (rows[20:60], rows[60:]):
+        index = line_dedup.LineIndex(spark, folder)
+        assert index.generation > 0 and index.refs.count() > 0
+        index.insert(docs_of(spark, part))
+    index = line_dedup.LineIndex(spark, folder)
+    assert index.generation == 3 and index.shards > first.shards  # shards were split as references grew
+    got = by_id(index.clean(docs_of(spark, rows)))
+    want = brute_lines([(i, t) for i, t in enumerate(texts)])
+    assert {i: (r["n_lines"], r["n_dropped"], r["text"]) for i, r in got.items()} == want
+    index.delete(spark.createDataFrame([(i,) for i in range(60, 120)], "doc_id long"))
+    got = by_id(line_dedup.LineIndex(spark, folder).clean(docs_of(spark, rows[:60])))
+    want = brute_lines([(i, t) for i, t in enumerate(texts[:60])])
+    assert {i: (r["n_lines"], r["n_dropped"], r["text"]) for i, r in got.items()} == want
+    with pytest.raises(ValueError, match="min_docs=3"):
+        line_dedup.LineIndex(spark, folder, min_docs=2)
+
+
 def test_cuckoo_filter():
     r = np.random.default_rng(4)
     high, low = r.integers(-(1 << 62), 1 << 62, (2, 30_000))
@@ -404,6 +431,26 @@ def test_mixing_meets_targets(spark):
     assert kept == pytest.approx(0.2 * total, rel=0.15)
 
 
+def test_mixing_goes_on_until_targets_hold(spark):
+    cells = [("a", "e", "x", 1000), ("a", "f", "x", 1), ("b", "e", "x", 1), ("b", "f", "x", 1000)]
+    table = spark.createDataFrame(cells, "source string, lang string, topic string, tokens long")
+
+    def targets(**shares):
+        return {n: spark.createDataFrame(list(s.items()), f"{n} string, share double") for n, s in shares.items()}
+
+    raked = mixing.rake(table, targets(source={"a": 0.9, "b": 0.1}, lang={"e": 0.2, "f": 0.8}, topic={"x": 1.0}))
+    assert mixing.marginal_distance(raked) <= mixing.BOUND
+    plain = np.array([[1000.0, 1.0], [1.0, 1000.0]])
+    for _ in range(20_000):
+        plain *= (np.array([0.9, 0.1]) / plain.sum(1))[:, None]
+        plain *= np.array([0.2, 0.8]) / plain.sum(0)
+    got = {(r["source"], r["lang"]): r["w"] for r in raked.collect()}
+    assert [got[k] for k in (("a", "e"), ("a", "f"), ("b", "e"), ("b", "f"))] == pytest.approx(plain.reshape(-1), abs=1e-5)
+    single = table.where("(source = 'a') = (lang = 'e')")  # each source has one language
+    with pytest.warns(UserWarning, match="targets conflict"):
+        mixing.rake(single, targets(source={"a": 0.9, "b": 0.1}, lang={"e": 0.2, "f": 0.8}))
+
+
 # 8 vectors
 
 
@@ -503,6 +550,119 @@ def test_cutoffs_keep_good_documents(spark):
     assert kept.count() == 6001 and kept.columns[-1] == "kept" and kept.first()["kept"] == "mine"
 
 
+def brute_cutoffs(measures, good, training, risk, error):
+    """Cutoffs per stratum from plain lists of (stratum, measures by name) per document."""
+
+    def value(rule, m):
+        over, under = rule.measure.split(" / ")
+        sign, name = (-1, over[1:]) if over[0] == "-" else (1, over)
+        return sign * m[name] / m[under]
+
+    def falls(vector, m):
+        return any(c is not None and value(rule, m) > c for rule, c in zip(quality.RULES, vector, strict=True))
+
+    def vector(used):
+        return [rule.cutoffs[k - 1] if k else None for rule, k in zip(quality.RULES, used, strict=True)]
+
+    def score(used, docs):
+        return sum((1 if not good[i] else -quality.WEIGHT) for i, m in docs if falls(vector(used), m))
+
+    paths = {}
+    for stratum in {s for s, _ in measures.values()}:
+        docs = [(i, m) for i, (s, m) in measures.items() if s == stratum]
+        train, hold = [d for d in docs if training[d[0]]], [d for d in docs if not training[d[0]]]
+        used = [0] * len(quality.RULES)
+        while True:
+            options = [
+                (score([*used[:r], k, *used[r + 1 :]], train), -r, -k)
+                for r, rule in enumerate(quality.RULES)
+                for k in range(used[r] + 1, len(rule.cutoffs) + 1)
+            ]
+            best = max(options)
+            if best[0] <= score(used, train):
+                break
+            used[-best[1]] = -best[2]
+        path, now = [], [0] * len(used)
+        for k in range(1, max(used) + 1):
+            for r in range(len(used)):
+                if used[r] >= k:
+                    now[r] = k
+                    path.append(vector(now))
+        n = sum(good[i] for i, _ in hold)
+        chances = []
+        for v in path:
+            k = sum(good[i] and falls(v, m) for i, m in hold)
+            chance = sum(comb(n, j) * risk**j * (1 - risk) ** (n - j) for j in range(k + 1))
+            chances.append(max([chance, *chances[-1:]]))
+        if path:
+            paths[stratum] = (path, chances)
+    ends = sorted(c[-1] for _, c in paths.values())
+    done = 0
+    while done < len(ends) and ends[done] <= error / (len(ends) - done):
+        done += 1
+    level = error / max(1, len(ends) - done) if done < len(ends) else error
+    none = [None] * len(quality.RULES)
+    return {s: ([none] + path)[sum(c <= level for c in chances)] for s, (path, chances) in paths.items()}
+
+
+def test_cutoffs_match_brute_force(spark):
+    r = random.Random(11)
+    rows, labels = [], []
+    for i in range(4000):
+        good = r.random() < 0.75
+        noise = 0.4 * r.random() ** 8 if good else r.random() ** 0.5
+        words = [f"v{r.randrange(3000)}" + "#" * (r.random() < noise) + "x" * int(6 * noise * r.random()) for _ in range(55)]
+        lines = [" ".join(words[k : k + 5]) for k in range(0, 55, 5)]
+        lines += lines[: int(9 * r.random() * noise)]
+        rows.append((i, "\n".join(lines), r.choice(["en", "en", "en", "fr", "fr", "de", None]), "a", 0))
+        labels.append((i, int(good), 0))
+    docs = docs_of(spark, rows)
+    measured = quality.measure(docs)
+    plain = {x["doc_id"]: x for x in measured.where(~quality.base_failed()).collect()}
+    train = docs.select("doc_id", (F.pmod(F.xxhash64("doc_id"), F.lit(quality.TRAINING)) == 0).alias("t")).collect()
+    for risk, error in ((0.05, 0.05), (0.02, 0.2)):
+        want = brute_cutoffs(
+            {i: (x["lang"], x) for i, x in plain.items()}, {i: g for i, g, _ in labels}, dict(tuple(t) for t in train), risk, error
+        )
+        found = quality.fit_cutoffs(measured, spark.createDataFrame(labels, LABELS), risk=risk, error=error).collect()
+        assert {x["_stratum"]: x["cutoffs"] for x in found} == want
+        assert any(c is not None for v in want.values() for c in v)
+        verdict = {x["doc_id"]: x["kept"] for x in quality.judge(measured, quality.fit_cutoffs(measured, spark.createDataFrame(labels, LABELS), risk=risk, error=error)).collect()}
+        none = [None] * len(quality.RULES)
+        for i, x in plain.items():
+            values = [x["n_symbols"] / x["n_words"], x["n_dup_lines"] / x["n_lines"], x["n_repeat_words"] / x["n_words"], x["word_chars"] / x["n_words"], -x["word_chars"] / x["n_words"]]
+            assert verdict[i] == (not any(c is not None and v > c for v, c in zip(values, want.get(x["lang"], none), strict=True)))
+
+
+def test_risk_is_controlled_in_repeated_draws():
+    r = np.random.default_rng(5)
+    risk, error, most, draws = 0.05, 0.1, np.array([len(rule.cutoffs) for rule in quality.RULES]), 500
+    lost = 0
+    for _ in range(draws):
+        chances = []  # of a good and a bad document for each level: the last means that no cutoff rejects it
+        for weight in (0.04, 0.5):
+            chances.append([np.r_[np.full(m, weight / len(most) / m), 1 - weight / len(most)] for m in most])
+        good = r.random(900) < 0.8
+        levels = np.stack([np.where(good, r.choice(m + 1, 900, p=g), r.choice(m + 1, 900, p=b)) + 1 for m, g, b in zip(most, *chances, strict=True)], 1)
+        train = np.arange(900) % 3 == 0
+        rows = np.ones(900, np.int64)
+        path = quality.choose_path(levels[train], good[train], rows[train], most)
+        found = quality.path_chances(path, levels[~train], good[~train], rows[~train], risk)
+        used = sum(c <= error for c in found)
+        if used:
+            kept = np.prod([p[v:].sum() for p, v in zip(chances[0], path[used - 1], strict=True)])
+            lost += 1 - kept > risk
+    assert lost <= error * draws + 3 * (error * (1 - error) * draws) ** 0.5
+
+
+def test_holm_level(spark):
+    def level(chances):
+        return quality.holm_level(spark.createDataFrame([(c,) for c in chances], "chance double"), 0.06)
+
+    assert level([]) == 0.06 and level([0.5, 0.5, 0.5]) == pytest.approx(0.02)
+    assert level([0.01, 0.025, 0.5]) == pytest.approx(0.06) and level([0.01, 0.04, 0.04]) == pytest.approx(0.03)
+
+
 # 10 passages
 
 
@@ -551,7 +711,7 @@ def test_self_repetition_is_kept(spark):
 
 
 def edge_results(spark, docs, model):
-    labels = spark.createDataFrame([(1, 1, None), (2, None, 0), (None, 1, 1), (3, 0, 0), (3, 1, 0)], "doc_id long, quality int, toxic int")
+    labels = spark.createDataFrame([(1, 1, None), (2, None, 0), (None, 1, 1), (3, 0, 0), (3, 1, 0)], LABELS)
     return {
         "secrets": secret_scan.scan(docs),
         "bpe": bpe.decode(bpe.encode(docs, model), model),
@@ -566,9 +726,25 @@ def edge_results(spark, docs, model):
 
 def test_edge_cases(spark, model):
     docs = docs_of(spark, EDGE)
-    for clash in ("spans", "ids", "decoded", "n_lines", "probability", "kept", "n_words", "n_tokens", "failed", "topic", "start", "high"):
-        docs = docs.withColumn(clash, F.lit("mine"))
-    got = {name: df.collect() for name, df in edge_results(spark, docs, model).items()}
+    own = [
+        "spans", "ids", "decoded", "n_lines", "probability", "kept", "n_words", "n_tokens", "failed", "topic", "start", "high",
+        "hits", "_doc", "_hits", "_assign_gaps", "_drop", "_source", "_lang", "_topic", "_own_topic", "cutoffs", "_stratum", "_cutoffs",
+        "_factors", "factors", "_gone", "_own_kept", "__doc", "low", "key", "id", "a", "b", "pivot", "class_id", "component", "anchors",
+        "level_0", "training", "good", "n", "w", "tokens", "ratio", "last_doc", "reference",
+    ]
+    docs = docs.withColumns({name: F.lit("mine") for name in own})
+    results = edge_results(spark, docs, model)
+    got = {name: df.collect() for name, df in results.items()}
+    replaced = {
+        "secrets": {"spans"}, "bpe": {"ids", "decoded"}, "lines": {"n_lines"}, "mixing": {"n_tokens", "topic", "probability", "kept"},
+        "lm": {"n_tokens"}, "quality": {"n_words", "n_lines", "kept", "failed"}, "passages": {"n_words", "factors"},
+    }
+    for name, gone in replaced.items():
+        passed = [c for c in own if c not in gone]
+        assert all(r[c] == "mine" for r in got[name] for c in passed), name
+        assert len(set(results[name].columns)) == len(results[name].columns)
+    for kept in (quality.keep_good(docs, spark.createDataFrame([], LABELS)), minhash.keep_one(docs), mixing.sample(docs)):
+        assert kept.columns == docs.columns and all(r[c] == "mine" for r in kept.collect() for c in own)
     assert {name: len(rows) for name, rows in got.items()} == dict.fromkeys(got, len(EDGE))
     ids = {name: {r["doc_id"]: r for r in rows} for name, rows in got.items()}
     assert ids["bpe"][1]["ids"] == [] and ids["bpe"][1]["decoded"] == ""
