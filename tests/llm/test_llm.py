@@ -818,4 +818,4 @@ def test_pipeline_matches_brute_force(spark, model, tmp_path):
 
 def test_queries_are_registered():
     numbers = {re.match(r"op(\d+)_", n)[1] for n in queries.QUERIES if n != "pipeline"}
-    assert numbers == {str(n) for n in range(1, 11)} and "pipeline" in queries.QUERIES
+    assert numbers == {str(n) for n in range(1, 14)} and "pipeline" in queries.QUERIES
