@@ -57,6 +57,21 @@ def test_hot_key_is_dealt_to_many_parts(sides):
     assert "xxhash64" in plan and "sequence" in plan
 
 
+def test_keys_are_split_by_pairs(spark, sides):
+    """A key of few rows but many pairs is cut on both sides; no side of the join goes through the driver."""
+    left, right = sides
+    limits = SkewLimits(task_pairs=500)
+    split = salted_join(left, right, "k", "k2", "inner", limits)
+    expected = left.join(right, F.col("k") == F.col("k2"))
+    assert sorted(map(str, split.collect())) == sorted(map(str, expected.collect()))
+    plan = split._jdf.queryExecution().toString()
+    assert "xxhash64" in plan and "sequence" in plan
+    whole = salted_join(left, right, "k", "k2", "inner")
+    assert "BroadcastHashJoin" not in whole._jdf.queryExecution().executedPlan().toString()
+    least = SkewLimits(task_pairs=1, broadcast_bytes=256)  # more split keys than may be broadcast: the blank one stays
+    assert sorted(map(str, salted_join(left, right, "k", "k2", "inner", least).collect())) == sorted(map(str, expected.collect()))
+
+
 def test_lookup_join_both_ways(spark, sides):
     left = sides[0]
     table = left.select(F.col("k").alias("t")).distinct().withColumn("v", F.length("t"))
