@@ -271,6 +271,15 @@ def test_language_model_learns(spark):
     assert rows[1]["log_likelihood"] == pytest.approx(want, rel=1e-4)
 
 
+def test_language_model_trains_on_every_position(spark):
+    """The second word of a text of two is learned too, in one round with the shipped stride."""
+    docs = docs_of(spark, [(i, "alpha beta", "en", "a", 0) for i in range(3000)])
+    net = masked_lm.train(docs.repartition(2), rounds=1)
+    tokens, at = masked_lm.tokens_of(pa.array(["alpha beta"]))
+    windows = masked_lm.windows_of(tokens, at)
+    assert (net.log_probability(windows, tokens) > np.log(0.05)).all()
+
+
 def test_language_model_probabilities_sum_to_one():
     net = masked_lm.Network.initial(3)
     window = np.array([[1, 2, 3, 4]] * masked_lm.END)
