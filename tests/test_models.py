@@ -9,6 +9,7 @@ from rapproche.config import EmbeddingConfig, NeighbourConfig, SubwordConfig
 from rapproche.operators import bm25, embedding, neighbours, skipgram, subword
 from rapproche.operators.lattice import Lattice, Trie
 from rapproche.operators.skew import SkewLimits
+from rapproche.operators.vector_sums import vector_sums
 
 DOCS = [(1, ["rue", "bac", "rue"]), (2, ["rue", "hugo"]), (3, ["quai", "bac"]), (4, ["rue", "foch", "paris", "x"]), (5, [])]
 
@@ -284,6 +285,38 @@ def test_no_frequent_token_gives_empty_tables(spark):
     assert embedding.train_word_vectors(docs.where("false")).count() == 0
 
 
+@pytest.mark.parametrize("block_bytes", [1 << 20, 8 * 3 * 20])
+def test_vector_sums_in_blocks(spark, block_bytes):
+    """Sums over blocks of pairs: repeated and unknown tokens, null keys, and a key of more pairs than a block."""
+    random = np.random.default_rng(8)
+    held = {f"t{i}": random.standard_normal(3) for i in range(30)}
+    rows = [(t, [float(x) for x in v]) for t, v in held.items()] + [("t1", [1.0, 2.0, 3.0]), (None, [1.0, 1.0, 1.0])]
+    pairs = [(k, f"t{random.integers(0, 35)}", float(random.random())) for k in [*range(40), None] for _ in range(4)]
+    pairs += [(7, f"t{i % 35}", 0.5) for i in range(200)] + [(90, "t99", 1.0), (3, None, 1.0)]
+    want, n = {}, {}
+    for k, t, share in pairs:
+        for token, v in rows:
+            if t is not None and token == t:
+                want[k] = want.get(k, 0) + share * np.array(v)
+                n[k] = n.get(k, 0) + 1
+    got = vector_sums(
+        spark.createDataFrame(pairs, "key long, token string, share double"),
+        spark.createDataFrame(rows, "token string, vector array<double>"), 3, block_bytes,
+    ).collect()
+    assert len(got) == len(want) and {r["key"]: r["n"] for r in got} == n
+    for r in got:
+        assert r["vector"] == pytest.approx(want[r["key"]])
+
+
+def test_vectors_are_shuffled_once_a_block(spark):
+    """No row of the plan carries a vector per document and term."""
+    terms = spark.createDataFrame([(i, f"t{i % 3}", 1, 1, 1.0) for i in range(50)], "id long, term string, tf long, doc_len long, weight double")
+    vectors = spark.createDataFrame([(f"t{i}", [float(i), 1.0]) for i in range(3)], "token string, vector array<double>")
+    found = bm25.mean_vectors(terms, vectors, bm25.SkewLimits(broadcast_bytes=1), 2)
+    assert "FlatMapCoGroupsInArrow" in found._jdf.queryExecution().toString()
+    assert {r["id"]: r["vector"] for r in found.collect()} == {i: [float(i % 3), 1.0] for i in range(50)}
+
+
 def vectors_frame(spark, matrix, name):
     rows = [(i, [float(x) for x in v]) for i, v in enumerate(matrix)]
     return spark.createDataFrame(rows, f"{name} long, vector array<double>")
