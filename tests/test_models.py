@@ -308,6 +308,14 @@ def test_vector_sums_in_blocks(spark, block_bytes):
         assert r["vector"] == pytest.approx(want[r["key"]])
 
 
+def test_copies_of_a_token_count_once_each_in_its_ngrams(spark):
+    """Two rows of one token weigh twice as much as one row of another, not four times."""
+    rows = [("abc", [1.0]), ("abc", [3.0]), ("abd", [8.0])]
+    found = embedding.ngram_vectors(spark.createDataFrame(rows, "token string, vector array<double>"))
+    got = {r["ngram"]: r["vector"][0] for r in found.collect()}
+    assert got["<ab"] == pytest.approx(4.0) and got["abc"] == pytest.approx(2.0) and got["abd"] == pytest.approx(8.0)
+
+
 def test_vectors_are_shuffled_once_a_block(spark):
     """No row of the plan carries a vector per document and term."""
     terms = spark.createDataFrame([(i, f"t{i % 3}", 1, 1, 1.0) for i in range(50)], "id long, term string, tf long, doc_len long, weight double")
