@@ -82,7 +82,7 @@ class Network:
 
     def forward(self, window: np.ndarray, first: np.ndarray) -> tuple:
         seen = self.embed[window]  # tokens x places x width
-        hidden = np.tanh((seen * self.place).sum(1) + self.bias)
+        hidden = np.tanh(sum(seen[:, k] * weights for k, weights in enumerate(self.place)) + self.bias)
         second = np.tanh(hidden + self.digit[first])
         return seen, hidden, second, _log_softmax(hidden, self.out1), _log_softmax(second, self.out2)
 
@@ -109,16 +109,14 @@ class Network:
         inner = (d2 @ self.out2[:-1].T) * (1 - second * second)
         outer = (d1 @ self.out1[:-1].T + inner) * (1 - hidden * hidden)
         digit = np.zeros_like(self.digit)
-        np.add.at(digit, first, inner)
+        own, summed = _sums(first, inner)
+        digit[own] = summed
         grads = [
-            (seen * outer[:, None, :]).sum(0), outer.sum(0), digit,
+            np.stack([(seen[:, k] * outer).sum(0) for k in range(len(PLACES))]), outer.sum(0), digit,
             np.vstack([hidden.T @ d1, d1.sum(0)]), np.vstack([second.T @ d2, d2.sum(0)]),
         ]
         to_embed = (outer[:, None, :] * self.place).reshape(-1, WIDTH)
-        used, index = np.unique(window, return_inverse=True)
-        order = np.argsort(index.ravel(), kind="stable")
-        starts = np.searchsorted(index.ravel()[order], np.arange(len(used)))
-        summed = np.add.reduceat(to_embed[order], starts)
+        used, summed = _sums(window.ravel(), to_embed)
         squares[0][used] += summed * summed
         self.embed[used] -= rate * summed / np.sqrt(squares[0][used] + 1e-6)
         for values, grad, square in zip(self.arrays()[1:], grads, squares[1:], strict=True):
@@ -126,6 +124,14 @@ class Network:
             values -= rate * grad / np.sqrt(square + 1e-6)
 
 
+def _sums(numbers: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct numbers, and the sum of the rows of each. Two bytes hold a number, which are sorted by radix."""
+    order = np.argsort(numbers.astype(np.uint16), kind="stable")
+    ordered = numbers[order]
+    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    return ordered[first], np.add.reduceat(rows[order], first)
+
+
 def _log_softmax(rows: np.ndarray, layer: np.ndarray) -> np.ndarray:
     x = rows @ layer[:-1] + layer[-1]
     x -= x.max(1, keepdims=True)
