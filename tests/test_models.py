@@ -242,6 +242,34 @@ def test_vectors_do_not_depend_on_partitions_or_batches(spark):
     assert skipgram._dealt(docs, skipgram.Vocabulary(vocabulary, np.ones(80), np.arange(80), np.arange(81)), config)[1] > 3
 
 
+def test_vectors_are_trained_without_the_model_on_the_driver(spark, monkeypatch):
+    """What is collected has a row per distinct count of tokens, and a joined vocabulary gives the same vectors."""
+    random = np.random.default_rng(8)
+    lists = [(i, [f"token{t}" for t in random.integers(0, 300, 20)]) for i in range(400)] + [(1, None), (2, []), (3, ["seldom"] * 2)]
+    docs = spark.createDataFrame(lists, "id long, tokens array<string>")
+    config = EmbeddingConfig(vector_size=8, epochs=2, shard_tokens=3000)
+    collected = []
+    for name in ("toArrow", "toPandas"):
+        old = getattr(type(docs), name)
+        monkeypatch.setattr(type(docs), name, lambda self, old=old: (rows := old(self), collected.append(len(rows)))[0])
+    joined = skipgram.train_vectors(docs, config, SkewLimits(broadcast_bytes=1))
+    assert max(collected) < 100
+    monkeypatch.undo()
+    results = [[sorted((r[0], tuple(r[1])) for r in t.collect()) for t in tables] for tables in (joined, skipgram.train_vectors(docs, config))]
+    assert results[0] == results[1] and len(results[0][0]) == 300
+
+
+def test_frequencies_draw_as_single_tokens_do():
+    counts = np.array([9.0, 9.0, 7.0, 5.0, 5.0, 5.0])
+    frequencies = skipgram.Frequencies(np.array([9.0, 7.0, 5.0]), np.array([0, 2, 3, 6]))
+    uniform = np.random.default_rng(3).random((50, 7))
+    weight = counts**skipgram.FLATTEN
+    single = np.minimum(np.searchsorted(np.cumsum(weight / weight.sum()), uniform), 5)
+    assert (frequencies.draw(uniform) == single).all()
+    share = counts / counts.sum()
+    assert np.array_equal(frequencies.keep(np.arange(6)), np.minimum(1, np.sqrt(skipgram.THIN / share) + skipgram.THIN / share))
+
+
 def test_gradient_of_a_step_against_differences():
     """A small step raises the pairs' likelihood as much as its gradient says."""
     random = np.random.default_rng(2)
