@@ -276,9 +276,9 @@ def digests(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that pass, with its columns. Labelled texts are measured first to fit the cutoffs."""
-    known = docs.select("doc_id", "text", "lang").join(labels.select("doc_id").distinct(), "doc_id", "left_semi")
-    cutoffs = stage(fit_cutoffs(measure(known).drop("text"), labels), "cutoffs")
+    """The rows of ``docs`` that pass, with its columns. All texts are measured first, to fit the cutoffs without moving any."""
+    known = docs.select("doc_id", "text", "lang")
+    cutoffs = stage(fit_cutoffs(stage(measure(known).drop("text"), "measures"), labels), "cutoffs")
     prefix = free_prefix(docs)
     taken = {*MEASURES, "base_failed", "failed", "kept"}
     own = {c: f"{prefix}{c}" for c in docs.columns if c.lower() in taken}

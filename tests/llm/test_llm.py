@@ -828,3 +828,18 @@ def test_pipeline_matches_brute_force(spark, model, tmp_path):
 def test_queries_are_registered():
     numbers = {re.match(r"op(\d+)_", n)[1] for n in queries.QUERIES if n != "pipeline"}
     assert numbers == {str(n) for n in range(1, 14)} and "pipeline" in queries.QUERIES
+
+
+def test_texts_are_not_moved_to_fit_cutoffs(spark, monkeypatch):
+    from rapproche.llm import quality
+
+    seen = []
+    old = quality.fit_cutoffs
+    monkeypatch.setattr(quality, "fit_cutoffs", lambda measured, *rest: (seen.append(measured), old(measured, *rest))[1])
+    rows = [(i, " ".join(f"word{j}" for j in range(60 + i % 7)), "en") for i in range(40)] + [(None, None, None), (41, "too short", "fr")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i in range(0, 40, 2)] + [(None, 0), (41, 0)], "doc_id long, quality int")
+    kept = quality.keep_good(docs, labels)
+    assert sorted(r["doc_id"] for r in kept.collect()) == list(range(40))
+    plan = seen[0]._jdf.queryExecution().toString()
+    assert "Join" not in plan and "Exchange" not in plan and "text" not in seen[0].columns
