@@ -128,11 +128,13 @@ def parse(docs: DataFrame, window: int = 50) -> DataFrame:
     per_doc = anchors.join(shared, "anchor").groupBy(F.col("doc_id").alias("_doc"))
     per_doc = stage(per_doc.agg(F.collect_set("anchor").alias("anchors")), "document-anchors")
 
-    texts = docs.select(F.col("doc_id").cast("long"), "text").join(per_doc, F.col("doc_id") == F.col("_doc")).select("doc_id", "text", "anchors")
+    # merged at any size, so that what is shuffled grows as the texts do, and no table of few compressed bytes is broadcast
+    texts = docs.select(F.col("doc_id").cast("long"), "text").hint("merge").join(per_doc, F.col("doc_id") == F.col("_doc"))
+    texts = texts.select("doc_id", "text", "anchors")
     posted = stage(posted_windows(texts, window), "windows")
     index = posted.groupBy("high", "low").agg(F.min("doc_id").alias("reference"), F.max("doc_id").alias("last"))
     index = stage(index.where("reference < last").drop("last"), "index")  # written, so that Spark splits a hot passage
-    found = posted.join(index, ["high", "low"]).where("doc_id > reference").select("doc_id", "start", "reference")
+    found = posted.hint("merge").join(index, ["high", "low"]).where("doc_id > reference").select("doc_id", "start", "reference")
     # the greedy parse: a factor ends where the next window is not found, or found in another reference
     order = W.partitionBy("doc_id").orderBy("start", "reference")
     grows = (F.col("start") == F.lag("start").over(order) + 1) & (F.col("reference") == F.lag("reference").over(order))
@@ -151,7 +153,7 @@ def remove_passages(docs: DataFrame, window: int = 50) -> DataFrame:
     docs = docs.drop("n_words", "n_removed", "factors")
     own = free_prefix(docs)
     found = parse(docs, window).select(F.col("_doc").alias(f"{own}doc"), F.col("factors").alias(f"{own}factors"))
-    joined = docs.join(found, F.col("doc_id") == F.col(f"{own}doc"), "left")
+    joined = docs.hint("merge").join(found, F.col("doc_id") == F.col(f"{own}doc"), "left")
     added = [T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("factors", FACTORS)]
     names = [*docs.columns, "n_words", "n_removed", "factors"]
     place = docs.columns.index("text")

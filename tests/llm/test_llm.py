@@ -843,3 +843,21 @@ def test_texts_are_not_moved_to_fit_cutoffs(spark, monkeypatch):
     assert sorted(r["doc_id"] for r in kept.collect()) == list(range(40))
     plan = seen[0]._jdf.queryExecution().toString()
     assert "Join" not in plan and "Exchange" not in plan and "text" not in seen[0].columns
+
+
+def test_passages_move_alike_at_any_size(spark, monkeypatch):
+    from rapproche.llm import substrings
+
+    plans = []
+    old = substrings.posted_windows
+    monkeypatch.setattr(
+        substrings, "posted_windows",
+        lambda texts, window: (plans.append(texts._jdf.queryExecution().executedPlan().toString()), old(texts, window))[1],
+    )
+    passage = " ".join(f"w{i}" for i in range(70))
+    rows = [(1, f"a b {passage} c"), (2, f"d {passage} e f"), (None, passage), (4, None)]
+    found = substrings.remove_passages(spark.createDataFrame(rows, "doc_id long, text string"))
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert all("SortMergeJoin" in p and "BroadcastHashJoin" not in p for p in plans)
+    texts = {r["doc_id"]: r["text"] for r in found.collect()}
+    assert texts == {1: rows[0][1], 2: "d e f", None: passage, 4: ""}
