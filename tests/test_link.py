@@ -8,12 +8,14 @@ from catalogue.link_queries import candidate_pairs
 from catalogue.model_queries import JOB
 from catalogue.registry import QUERIES, SQL
 from rapproche.config import EmbeddingConfig, Parity, SubwordConfig, Thresholds
-from rapproche.operators import scoring
+from rapproche.operators import matching, scoring
 from rapproche.operators.matching import merged_columns
+from rapproche.operators.skew import SkewLimits
 from rapproche.operators.model_store import ModelStore, digest, fit_or_load
 from rapproche.plans.link import RUN, link_entries, link_files, run_link, train_models
 from rapproche.session import stage
 from rapproche.sources import sinks
+from rapproche.sources.sinks import numbered_merged
 
 SF = "/root/testdata/sf0.001"
 ROWS1 = [
@@ -161,3 +163,20 @@ def test_run_writes_everything(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out" / "rejects")).count() == 1
     merged = [r[0].split("\t") for r in spark.read.text(str(tmp_path / "out" / "merged")).collect()]
     assert len([m for m in merged if m[0] != "merged_id"]) == sum(counts.values())
+
+
+def test_id_matches_are_numbered_in_the_join(spark):
+    """Equal rows, blank ids and ids of one list only; numbers are those that sorting all pairs gives."""
+    columns = "rawid string, name string, street_number string, address string, postal_code string, city string, extra string"
+
+    def entries(ids, names):
+        return spark.createDataFrame([(i, n, "", "", "", "", "") for i, n in zip(ids, names, strict=True)], columns)
+
+    table1 = entries(["", "", "", "a", "a", "a", "b", "c", None], "xxyuuvwpq")
+    table2 = entries(["", "", "", "", "a", "a", "d", "c", None], "zzkmsttpq")
+    limits = SkewLimits(task_rows=3, task_pairs=4)
+    by_id = matching.link_by_id(table1, table2, limits=limits, numbered=True)
+    similar = matching.link_by_id(entries("fe", "ab"), entries("fe", "ab"))
+    found = numbered_merged(matching.combine(by_id, similar), matching.pair_count(table1, table2)).collect()
+    sorted_pairs = numbered_merged(matching.combine(matching.link_by_id(table1, table2), similar)).collect()
+    assert len(found) == 21 and sorted(map(tuple, found)) == sorted(map(tuple, sorted_pairs))
