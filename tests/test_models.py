@@ -2,11 +2,12 @@ import math
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from rapproche.config import EmbeddingConfig, NeighbourConfig, SubwordConfig
-from rapproche.operators import bm25, embedding, neighbours, skipgram, subword
+from rapproche.operators import bm25, embedding, lattice, neighbours, skipgram, subword
 from rapproche.operators.lattice import Lattice, Trie
 from rapproche.operators.skew import SkewLimits
 from rapproche.operators.vector_sums import vector_sums
@@ -495,3 +496,26 @@ def test_searches_ask_for_every_fiftieth_row(spark, tmp_path):
     unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
     assert found == dict(zip(asked.tolist(), (unit[asked][:, ::-1] @ unit.T).argmax(1).tolist(), strict=True))
     assert QUERIES["j5_recall"](spark, str(tmp_path)).first()["queries"] == 5
+
+
+def test_sums_as_numbers_equal_sums_of_logarithms():
+    """Short words are summed without logarithms, long ones with them; both give the same."""
+    rng = np.random.default_rng(5)
+    score = np.log(rng.random((9, 4, 6)))
+    score[rng.random(score.shape) < 0.4] = -np.inf
+    score[:, 0] = np.maximum(score[:, 0], -12.0)  # a single sign always has a score
+    for start in range(9):
+        score[start, 9 - start :] = -np.inf
+    places = np.nonzero(score > -np.inf)
+    for plain, logs in zip(lattice._sums(score, places), lattice._log_sums(score, places), strict=True):
+        assert np.allclose(plain, logs, rtol=1e-12)
+
+
+def test_batches_are_cut_in_portions():
+    """However long its texts, a worker cuts a batch in runs of bounded size, in order."""
+    half = subword.TEXT_SIGNS // 2
+    texts = pd.Series(["", "a" * half, "b", "c" * half, "d" * (3 * half), "", "e"])
+    portions = list(subword._portions(texts))
+    assert pd.concat(portions).tolist() == texts.tolist() and len(portions) > 2
+    assert all(p.str.len().sum() - p.str.len().max() <= subword.TEXT_SIGNS for p in portions)
+    assert [len(p) for p in subword._portions(pd.Series([], dtype=object))] == [0]
