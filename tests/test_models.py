@@ -387,6 +387,30 @@ def test_exact_nearest_is_brute_force(spark, crowded):
     assert all(r["model_score"] == pytest.approx(score[r["query_id"]]) for r in found)
 
 
+def test_best_rows_are_brute_force():
+    """Tiles in single precision find the true best, the first of equal references, and spread over several tiles."""
+    random = np.random.default_rng(12)
+    references = random.standard_normal((2500, 24)) + 0.5
+    references[1200:1900] = references[31]
+    references[2000:2400] = references[40] + random.standard_normal((400, 24)) * 1e-6  # closer than single precision tells
+    queries = references[random.permutation(2500)[:1300]] + random.standard_normal((1300, 24)) * 1e-7
+    unit = [x / np.linalg.norm(x, axis=1)[:, None] for x in (queries, references)]
+    at, top = neighbours._best_rows(*unit)
+    scores = np.einsum("ij,kj->ik", *unit)
+    assert top == pytest.approx(scores.max(axis=1), abs=1e-12)
+    assert scores[np.arange(1300), at] == pytest.approx(scores.max(axis=1), abs=1e-12)
+    assert not ((at >= 1200) & (at < 1900)).any()
+
+
+def test_rows_of_a_crowded_cell_are_copied_to_few_chunks(spark):
+    """The copies of a row do not grow with the cell until chunks reach their bound of bytes."""
+    rows = spark.range(20_000).select(F.lit(0).cast("long").alias("cell"))
+    chunks = lambda size: neighbours._chunk_counts(rows, "n", 40, size).first()["n"]
+    assert chunks(16) == neighbours.CELL_CHUNKS
+    assert chunks(neighbours.CHUNK_VECTOR_BYTES // (8 * 100)) == 200  # a hundred rows fill a chunk
+    assert neighbours._chunk_counts(rows.limit(90), "n", 40, 16).first()["n"] == 3
+
+
 def test_trees_find_nearly_all(spark, crowded):
     queries, references = crowded
     found = neighbours.nearest(
