@@ -99,37 +99,55 @@ class Network:
     def step(self, window: np.ndarray, token: np.ndarray, squares: list[np.ndarray], rate: float) -> None:
         """One step of the mean negative log-probability; ``squares`` are the sums that scale each parameter's rate."""
         first, last = np.divmod(token, CLASSES)
-        seen, hidden, second, one, two = self.forward(window, first)
-        row, n = np.arange(len(token)), len(token)
-        d1, d2 = np.exp(one), np.exp(two)
-        d1[row, first] -= 1
-        d2[row, last] -= 1
-        d1 /= n
-        d2 /= n
-        inner = (d2 @ self.out2[:-1].T) * (1 - second * second)
-        outer = (d1 @ self.out1[:-1].T + inner) * (1 - hidden * hidden)
-        digit = np.zeros_like(self.digit)
-        own, summed = _sums(first, inner)
-        digit[own] = summed
+        n, places = len(token), len(PLACES)
+        seen = self.embed.take(window.ravel(), 0).reshape(n, places * WIDTH)
+        across = np.zeros((places, WIDTH, WIDTH), np.float32)  # the weights per place, as a matrix that also adds the places up
+        across[:, np.arange(WIDTH), np.arange(WIDTH)] = self.place
+        across = across.reshape(places * WIDTH, WIDTH)
+        hidden, second = np.ones((n, WIDTH + 1), np.float32), np.ones((n, WIDTH + 1), np.float32)
+        np.tanh(seen @ across + self.bias, out=hidden[:, :-1])
+        np.tanh(hidden[:, :-1] + self.digit.take(first, 0), out=second[:, :-1])
+        to_out1, to_hidden = _layer_gradients(hidden, self.out1, first)
+        to_out2, inner = _layer_gradients(second, self.out2, last)
+        inner *= 1 - second[:, :-1] ** 2
+        outer = (to_hidden + inner) * (1 - hidden[:, :-1] ** 2)
         grads = [
-            np.stack([(seen[:, k] * outer).sum(0) for k in range(len(PLACES))]), outer.sum(0), digit,
-            np.vstack([hidden.T @ d1, d1.sum(0)]), np.vstack([second.T @ d2, d2.sum(0)]),
+            _sums(window.ravel(), (outer @ across.T).reshape(-1, WIDTH), len(self.embed)),
+            np.einsum("nkj,nj->kj", seen.reshape(n, places, WIDTH), outer), outer.sum(0), _sums(first, inner, CLASSES), to_out1, to_out2,
         ]
-        to_embed = (outer[:, None, :] * self.place).reshape(-1, WIDTH)
-        used, summed = _sums(window.ravel(), to_embed)
-        squares[0][used] += summed * summed
-        self.embed[used] -= rate * summed / np.sqrt(squares[0][used] + 1e-6)
-        for values, grad, square in zip(self.arrays()[1:], grads, squares[1:], strict=True):
-            square += grad * grad
-            values -= rate * grad / np.sqrt(square + 1e-6)
-
-
-def _sums(numbers: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct numbers, and the sum of the rows of each. Two bytes hold a number, which are sorted by radix."""
-    order = np.argsort(numbers.astype(np.uint16), kind="stable")
-    ordered = numbers[order]
-    first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-    return ordered[first], np.add.reduceat(rows[order], first)
+        for values, grad, square in zip(self.arrays(), grads, squares, strict=True):
+            scale = grad * grad
+            square += scale
+            np.add(square, np.float32(1e-6), out=scale)
+            np.sqrt(scale, out=scale)
+            np.divide(grad, scale, out=grad)
+            grad *= np.float32(rate)
+            values -= grad
+
+
+def _layer_gradients(rows: np.ndarray, layer: np.ndarray, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gradients of the mean negative log-probability of the chosen columns, by the layer and by the rows but their last one.
+
+    The last component of each row is 1, for the layer's bias. Odds are weighed on the narrow side of the products: a row's
+    gradient by its outputs is (odds - sum of odds * chosen) / (n * sum of odds).
+    """
+    odds = rows @ layer
+    if np.abs(layer).sum(0).max() > 60:  # rows are within one, so exponents are below this sum
+        odds -= odds.max(1, keepdims=True)
+    np.exp(odds, out=odds)
+    total = odds @ np.ones(CLASSES, np.float32)
+    odds[np.arange(len(rows)), chosen] -= total
+    weight = (1 / (len(rows) * total))[:, None]
+    return (rows * weight).T @ odds, (odds @ layer[:-1].T) * weight
+
+
+def _sums(numbers: np.ndarray, rows: np.ndarray, count: int) -> np.ndarray:
+    """The sum of the rows of each number below ``count``. Two components are added as one complex number."""
+    half = WIDTH // 2
+    out = np.zeros(count * half, np.complex64)
+    at = (numbers * half)[:, None] + np.arange(half)
+    np.add.at(out, at.ravel(), np.ascontiguousarray(rows, np.float32).view(np.complex64).ravel())
+    return out.view(np.float32).reshape(count, WIDTH)
 
 
 def _log_softmax(rows: np.ndarray, layer: np.ndarray) -> np.ndarray:
@@ -187,9 +205,9 @@ def train(docs: DataFrame, rounds: int = ROUNDS, stride: int = STRIDE, seed: int
                     windows = windows_of(tokens, at)
                     place = np.arange(len(tokens)) - np.repeat(at[:-1], np.diff(at))
                     chosen = random.permutation(np.flatnonzero(place % stride == offset % stride))
+                    windows, tokens = windows.take(chosen, 0), tokens.take(chosen)
                     for i in range(0, len(chosen), BATCH):
-                        part = chosen[i : i + BATCH]
-                        own.step(windows[part], tokens[part], squares, rate)
+                        own.step(windows[i : i + BATCH], tokens[i : i + BATCH], squares, rate)
                     count += len(chosen)
             if count:
                 values = np.zeros(-(-size // CHUNK) * CHUNK)

@@ -287,6 +287,23 @@ def test_language_model_probabilities_sum_to_one():
     assert total == pytest.approx(1, abs=1e-3)
 
 
+@pytest.mark.parametrize("scale", [0.3, 40.0])
+def test_language_model_step_against_its_definition(scale):
+    """Gradients by odds are those of the log-softmax, also where its exponents are large; rows are summed by number."""
+    r = np.random.default_rng(4)
+    layer = (r.standard_normal((masked_lm.WIDTH + 1, masked_lm.CLASSES)) * scale).astype(np.float32)
+    rows = np.append(np.tanh(r.standard_normal((50, masked_lm.WIDTH))), np.ones((50, 1)), 1).astype(np.float32)
+    chosen = r.integers(0, masked_lm.CLASSES, 50)
+    d = np.exp(masked_lm._log_softmax(rows[:, :-1], layer))
+    d[np.arange(50), chosen] -= 1
+    by_layer, by_rows = masked_lm._layer_gradients(rows, layer, chosen)
+    assert by_layer == pytest.approx(rows.T @ d / 50, abs=1e-5)
+    assert by_rows == pytest.approx(d @ layer[:-1].T / 50, abs=1e-5 * max(1, scale))
+    numbers, added = r.integers(0, 9, 200), r.standard_normal((200, masked_lm.WIDTH)).astype(np.float32)
+    want = np.stack([added[numbers == k].sum(0) for k in range(10)])
+    assert masked_lm._sums(numbers, added, 10) == pytest.approx(want, abs=1e-4)
+
+
 def test_language_model_gradient():
     r = np.random.default_rng(1)
     window, token = r.integers(0, 50, (30, len(masked_lm.PLACES))), r.integers(0, masked_lm.END, 30)
