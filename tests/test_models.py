@@ -521,6 +521,15 @@ def test_searches_ask_for_every_row(spark, tmp_path):
         assert {r["query_id"]: r["reference_id"] for r in QUERIES[name](spark, str(tmp_path)).collect()} == true
 
 
+def test_recall_asks_for_every_row(spark, tmp_path):
+    from catalogue.registry import QUERIES
+
+    vectors = np.random.default_rng(11).standard_normal((230, 8))
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    assert QUERIES["j5_recall"](spark, str(tmp_path)).first()["queries"] == 230
+
+
 def test_sums_as_numbers_equal_sums_of_logarithms():
     """Short words are summed without logarithms, long ones with them; both give the same."""
     rng = np.random.default_rng(5)
