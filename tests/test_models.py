@@ -551,3 +551,28 @@ def test_batches_are_cut_in_portions():
     assert pd.concat(portions).tolist() == texts.tolist() and len(portions) > 2
     assert all(p.str.len().sum() - p.str.len().max() <= subword.TEXT_SIGNS for p in portions)
     assert [len(p) for p in subword._portions(pd.Series([], dtype=object))] == [0]
+
+
+def test_runs_are_summed_as_reduceat_does():
+    random = np.random.default_rng(4)
+    for runs in (1, 5, 400):
+        length = np.concatenate([random.integers(1, 6, runs), [1, 300]])
+        first = np.cumsum(length) - length
+        values, order = random.standard_normal((700, 3)), random.integers(0, 700, length.sum())
+        assert skipgram._run_sums(values, order, first) == pytest.approx(np.add.reduceat(values[order], first, axis=0))
+    assert skipgram._run_sums(np.zeros((0, 3)), np.zeros(0, int), np.zeros(0, int)).shape == (0, 3)
+    packed = skipgram._packed(values[:50].astype(np.float32))
+    assert np.array_equal(skipgram._unpacked(packed.slice(7, 20)), values[7:27].astype(np.float32))
+
+
+def test_shards_do_not_outnumber_what_the_model_leaves_room_for(spark, monkeypatch):
+    """A shard is dealt most of the model, so a corpus of many rare tokens has fewer shards; each is a task of its own."""
+    lists = [(i, [f"word{(7 * i + k) % 1500}" for k in range(10)]) for i in range(1500)]
+    docs = spark.createDataFrame(lists, "id long, tokens array<string>")
+    seen, dealt = [], skipgram._dealt
+    monkeypatch.setattr(skipgram, "_dealt", lambda *args: (seen.append(dealt(*args)), seen[0])[1])
+    words, _ = skipgram.train_vectors(docs, EmbeddingConfig(vector_size=4, epochs=1, min_n=30, max_n=30, shard_tokens=1000))
+    shards, rows = seen[0][1], 2 * 1500
+    assert words.count() == 1500 and 1 < shards <= -(-15_000 // (skipgram.ROW_TOKENS * rows)) < 15
+    parts = seen[0][0].repartitionById(shards, "shard").select("shard", skipgram.F.spark_partition_id().alias("task")).distinct().collect()
+    assert len(parts) == shards and all(r["shard"] == r["task"] for r in parts)
