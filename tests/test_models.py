@@ -522,6 +522,7 @@ def test_searches_ask_for_every_row(spark, tmp_path):
 
 
 def test_recall_asks_for_every_row(spark, tmp_path):
+    from catalogue import model_queries  # noqa: F401
     from catalogue.registry import QUERIES
 
     vectors = np.random.default_rng(11).standard_normal((230, 8))
@@ -576,3 +577,16 @@ def test_shards_do_not_outnumber_what_the_model_leaves_room_for(spark, monkeypat
     assert words.count() == 1500 and 1 < shards <= -(-15_000 // (skipgram.ROW_TOKENS * rows)) < 15
     parts = seen[0][0].repartitionById(shards, "shard").select("shard", skipgram.F.spark_partition_id().alias("task")).distinct().collect()
     assert len(parts) == shards and all(r["shard"] == r["task"] for r in parts)
+
+
+def test_orders_are_grouped_once_for_weighted_components(spark, tmp_path):
+    from catalogue import model_queries  # noqa: F401
+    from catalogue.registry import QUERIES
+
+    lines = [(o, o % 4 + k) for o in range(40) for k in range(3)]
+    spark.createDataFrame(lines, "l_orderkey long, l_suppkey long").write.parquet(str(tmp_path / "lineitem.parquet"))
+    vectors = [(i, [float(i)] * 64) for i in range(6)]
+    spark.createDataFrame(vectors, "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    found = QUERIES["a4_vector_components"](spark, str(tmp_path))
+    assert "collect_list" not in found._jdf.queryExecution().toString()
+    assert found.count() == 40 and all(len(r["components"].split(" ")) == 64 for r in found.collect())
